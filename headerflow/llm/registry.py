@@ -1,12 +1,17 @@
 """The queries of this subpackage, and SQL for those that SQL can express."""
 
+from . import neardup
+from .bpe import op5_bpe
+from .language import op1_language
 from .media import op8_media
+from .quality import op9_quality
 from .sharding import op3_sharding
+from .wavelet import op7_wavelet
 
 
 def queries():
-    return {"op3_sharding": op3_sharding, "op8_media": op8_media}
+    return {"op1_language": op1_language, "op2_neardup": neardup.op2_neardup, "op3_sharding": op3_sharding, "op5_bpe": op5_bpe, "op7_wavelet": op7_wavelet, "op8_media": op8_media, "op9_quality": op9_quality}
 
 
 def oracle_sql():
-    return {}
+    return {"op2_neardup": neardup.ORACLE}
