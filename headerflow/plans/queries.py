@@ -599,7 +599,7 @@ def harmonize(spark, sf_dir):
 @query(
     f"""{FLAGGED}, am AS (SELECT * FROM an WHERE note = 'code_confusable_ambiguous'), ok AS (SELECT doc, anchor FROM am GROUP BY ALL HAVING bool_or(nob) AND NOT bool_or(glyph AND NOT nob OR glyph)),
 rq AS (SELECT am.*, row_number() OVER (PARTITION BY am.doc, am.anchor ORDER BY nob DESC, page_idx) AS r FROM am JOIN ok USING (doc, anchor)),
-rd AS (SELECT doc, anchor, translate(code, 'O0', '0O') AS rescued FROM rq WHERE r = 1 AND contains(norm, '0'))
+rd AS (SELECT doc, anchor, translate(code, 'O0', '0O') AS rescued FROM rq WHERE r = 1 AND translate(code, 'O0', '0O') <> code)
 SELECT doc, page_idx, {RECODED.format(c='c')} AS header, {RECODED.format(c='c')} <> norm AS updated FROM (SELECT an.*, CASE WHEN note = 'code_confusable_ambiguous' THEN rescued END AS c FROM an LEFT JOIN rd USING (doc, anchor))"""
 )
 def rescue_propagate(spark, sf_dir):
