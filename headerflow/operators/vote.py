@@ -23,6 +23,7 @@ def method_vote(readings: DataFrame, keys: list[str], cfg: HeaderConfig = SHIPPE
     each = some.groupBy(*keys, "text").agg(F.count("*").alias("freq"), F.avg("confidence").alias("avg_confidence"))
     each = S.with_header_fields(each, "text", cfg)
     each = each.withColumn("weighted", F.col("score") * 0.7 + F.col("avg_confidence") * 0.3 + F.when(F.col("strict"), 20.0).otherwise(0.0))
+    each = each.withColumns({"weighted": F.round("weighted", 9), "avg_confidence": F.round("avg_confidence", 9)})  # sums in another order are equal
     each = each.withColumn("total", F.sum("freq").over(Window.partitionBy(*keys)))
     best = first_by(each, keys, *(F.desc(c) for c in ("strict", "weighted", "score", "freq", "avg_confidence")), F.asc("text"))
     chosen = F.when(F.col("score") > 0, F.col("norm")).otherwise(F.col("text"))

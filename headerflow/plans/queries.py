@@ -314,7 +314,7 @@ def scale_escalation(spark, sf_dir):
 @query(
     f"""{H}, g AS (SELECT order_no, header, any_value(norm) AS norm, any_value(score) AS score, any_value(strict) AS strict, count(*) AS freq, avg(confidence) AS conf FROM h WHERE header <> '' GROUP BY order_no, header),
 w AS (SELECT *, score * 0.7 + conf * 0.3 + CASE WHEN strict THEN 20 ELSE 0 END AS weighted, sum(freq) OVER (PARTITION BY order_no) AS total FROM g),
-b AS (SELECT *, row_number() OVER (PARTITION BY order_no ORDER BY strict DESC, round(weighted, 9) DESC, score DESC, freq DESC, conf DESC, header) AS n FROM w)
+b AS (SELECT *, row_number() OVER (PARTITION BY order_no ORDER BY strict DESC, round(weighted, 9) DESC, score DESC, freq DESC, round(conf, 9) DESC, header) AS n FROM w)
 SELECT order_no, CASE WHEN score > 0 THEN norm ELSE header END AS header, score, strict, freq, round_even(freq / CAST(total AS DOUBLE), 6) AS freq_ratio, round_even(weighted, 6) AS weighted FROM b WHERE n = 1"""
 )
 def method_vote(spark, sf_dir):

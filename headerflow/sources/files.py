@@ -22,6 +22,7 @@ def ready(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Files that look like complete PDFs, and the others for quarantine."""
     head = F.decode(F.substring("content", 1, 5), "ISO-8859-1")
     ok = (F.col("length") > 0) & (head == "%PDF-")
+    ok = F.coalesce(ok, F.lit(False))
     return files.where(ok), files.where(~ok)
 
 

@@ -46,7 +46,7 @@ def test_breaker_stream(spark, tmp_path):
 
 def test_files(spark, tmp_path):
     (tmp_path / "x.pdf").write_text("%PDF-1")
-    (tmp_path / "y.pdf").write_text("")
+    (tmp_path / "y.pdf").write_text("junk")
     good, bad = files.ready(files.documents(spark, str(tmp_path)))
     assert (good.count(), bad.count()) == (1, 1)
     (tmp_path / "r.csv").write_text("﻿timestamp,pdf_filename,page_number\n# total,1\n2024-01-01 00:00:00,a.pdf,3\n")
