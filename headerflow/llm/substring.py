@@ -1,11 +1,12 @@
 """Substring dedup by prefix-partitioned suffix trees.
 
 The suffixes of a corpus are those of its word sequences; only their first SIZE words (the windows) matter here, so each tree is
-cut at that depth. A suffix belongs to the group of the least 8-word hash among its first SIZE words, which equal suffixes
+cut at that depth. A suffix belongs to the group of the least SEED-word hash among its first SIZE words, which equal suffixes
 share; neighbouring suffixes mostly share it too and travel as one run. Groups of one run are dropped before any text is moved.
-Groups that fit in memory are gathered, and their tree is built by prefix doubling: the nodes at depth 1, 2, 4 ... 32 and SIZE.
-A node at depth SIZE with two leaves or more is an internal node, hence a repeat, and its leaves are marked. A group with more
-than HOT runs takes a longer prefix, the whole window, as its key; such a group is one leaf class, so a count is enough and no
+Runs with the same words become one, with a count, before they meet, so copies weigh nothing. Groups that fit in memory are
+gathered, and their tree is built by prefix doubling: the nodes at depth 1, 2, 4 ... 32 and SIZE. A node at depth SIZE that
+stands for two places or more is an internal node, hence a repeat, and its leaves are marked. A group with more than HOT
+different runs takes a longer prefix, the whole window, as its key; such a group is one leaf class, so a count is enough and no
 task holds it.
 
 The words that marked windows cover are removed, all at once: windows are judged on the input.
@@ -18,14 +19,15 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import Scratch, as_bytes, bounded_batches, mix, table, windows, word_hashes
 
-SIZE, SEED = 35, 8
-#: Runs from which a group's key is the whole window; words of a tree about.
+SIZE, SEED = 35, 17
+#: Different runs from which a group's key is the whole window; words of a tree about.
 HOT, WORDS = 4000, 400_000
 
 
@@ -52,8 +54,8 @@ def runs(words: list, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return g[at[start]].view(np.int64), start, np.diff(np.r_[start, len(at)])
 
 
-def repeats(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """Which starts lead a window that another start leads too: leaves of the tree's nodes at depth size.
+def repeats(words: np.ndarray, starts: np.ndarray, size: int, times: np.ndarray | None = None) -> np.ndarray:
+    """Which starts lead a window that another start leads too, or that stands several times: leaves of nodes at depth size.
 
     words: word codes of all runs, end to end. Ranks of depth 2k come from two ranks of depth k.
     """
@@ -62,8 +64,8 @@ def repeats(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
         pair = rank[:-depth] * len(rank) + rank[depth:]
         rank, depth = np.unique(pair, return_inverse=True)[1], 2 * depth
     node = rank[starts] * len(words) + rank[starts + size - depth]
-    _, leaf, count = np.unique(node, return_inverse=True, return_counts=True)
-    return count[leaf] > 1
+    _, leaf = np.unique(node, return_inverse=True)
+    return np.bincount(leaf, times)[leaf] > 1
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -93,90 +95,109 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _cold(rows: DataFrame, size: int) -> DataFrame:
-    """Marked windows of the groups that fit in memory: __hf_id, __hf_text, start, end (of the words covered)."""
+    """rows: seed, one, two, times, words. For groups that fit in memory: one, two, marked (spans of windows, from the run's start)."""
 
     def tree(part: list) -> pa.RecordBatch:
-        codes, starts, owner, place, at = [], [], [], [], 0
-        for i, (_, _, _, start, n, text) in enumerate(part):
-            h = word_hashes(text.split(b" "))
-            codes.append(h)
-            starts.append(np.arange(at, at + n))
-            owner.append(np.full(n, i))
-            place.append(np.arange(start, start + n))
-            at += len(h)
-        starts, owner, place = (np.concatenate(x) for x in (starts, owner, place))
-        hit = repeats(np.concatenate(codes), starts, size)
-        owner, place = owner[hit], place[hit]
-        # neighbouring windows become one span
-        first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)]) if len(owner) else np.zeros(0, int)
-        last = np.r_[first[1:], len(owner)] - 1 if len(first) else first
-        ids = [part[i] for i in owner[first]]
-        return pa.RecordBatch.from_arrays([pa.array([x[1] for x in ids], pa.int64()), pa.array([x[2] for x in ids], pa.int64()), pa.array(place[first].astype(np.int32)), pa.array((place[last] + size).astype(np.int32))], ["__hf_id", "__hf_text", "start", "end"])
+        codes = [word_hashes(r[4].split(b" ")) for r in part]
+        n = np.array([len(c) for c in codes])
+        windows_ = n - size + 1
+        first = np.cumsum(n) - n
+        owner = np.repeat(np.arange(len(part)), windows_)
+        place = np.arange(windows_.sum()) - np.repeat(np.cumsum(windows_) - windows_, windows_)
+        times = np.repeat(np.array([r[3] for r in part], np.float64), windows_)
+        hit = repeats(np.concatenate(codes), first[owner] + place, size, times)
+        return _spans(owner[hit], place[hit], [r[1] for r in part], [r[2] for r in part])
 
     def run(batches):
         held, words = [], 0
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("seed", "__hf_id", "__hf_text", "start", "n", "words")), strict=True):
+            for row in zip(*(b.column(c).to_pylist() for c in ("seed", "one", "two", "times", "words")), strict=True):
                 if words >= WORDS and row[0] != held[-1][0]:
                     yield tree(held)
                     held, words = [], 0
                 held.append(row)
-                words += row[4] + size - 1
+                words += len(row[4]) // 5
         if held:
             yield tree(held)
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("seed", "__hf_id", "__hf_text", "start", "n", F.col("words")).repartition(n, "seed").sortWithinPartitions("seed")
-    return dealt.mapInArrow(run, "__hf_id long, __hf_text long, start int, end int")
+    dealt = rows.select("seed", "one", "two", "times", "words").repartition(n, "seed").sortWithinPartitions("seed")
+    return dealt.mapInArrow(run, MARKED)
+
+
+MARKED = "one long, two long, start int, end int"
+
+
+def _spans(owner: np.ndarray, place: np.ndarray, one: list, two: list) -> pa.RecordBatch:
+    """Neighbouring marked windows of a run as one row: first and last + 1."""
+    first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)]) if len(owner) else np.zeros(0, np.int64)
+    last = np.r_[first[1:], len(owner)] - 1 if len(first) else first
+    at = owner[first].tolist()
+    return pa.RecordBatch.from_arrays([pa.array([one[i] for i in at], pa.int64()), pa.array([two[i] for i in at], pa.int64()), pa.array(place[first].astype(np.int32)), pa.array((place[last] + 1).astype(np.int32))], ["one", "two", "start", "end"])
 
 
 def _hot(rows: DataFrame, size: int) -> DataFrame:
-    """Marked windows of the other groups, by counts of whole windows."""
+    """The same for the other groups, by counts of whole windows."""
 
     def run(batches):
         for b in batches:
-            ids, texts, starts, one, two = [], [], [], [], []
-            for i, t, start, n, text in zip(*(b.column(c).to_pylist() for c in ("__hf_id", "__hf_text", "start", "n", "words")), strict=True):
+            out = [[] for _ in range(6)]
+            for one, two, times, text in zip(*(b.column(c).to_pylist() for c in ("one", "two", "times", "words")), strict=True):
                 h = word_hashes(text.split(b" "))
-                ids.append(np.full(n, i))
-                texts.append(np.full(n, t))
-                starts.append(np.arange(start, start + n))
-                one.append(windows(h, size))
-                two.append(windows(mix(h), size))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (ids, texts, starts)] + [pa.array(np.concatenate(x).view(np.int64)) for x in (one, two)], ["__hf_id", "__hf_text", "start", "one", "two"])
+                x, y = windows(h, size).view(np.int64), windows(mix(h), size).view(np.int64)
+                for c, v in zip(out, (np.full(len(x), one), np.full(len(x), two), np.full(len(x), times), np.arange(len(x)), x, y), strict=True):
+                    c.append(v)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], ["one", "two", "times", "start", "x", "y"])
 
-    found = rows.select("__hf_id", "__hf_text", "start", "n", "words").mapInArrow(run, "__hf_id long, __hf_text long, start long, one long, two long")
-    often = found.groupBy("one", "two").count().where("count > 1").select("one", "two")
-    hit = found.join(often, ["one", "two"], "left_semi")
-    return hit.select("__hf_id", "__hf_text", F.col("start").cast("int").alias("start"), (F.col("start") + size).cast("int").alias("end"))
+    found = rows.select("one", "two", "times", "words").mapInArrow(run, "one long, two long, times long, start long, x long, y long")
+    often = found.groupBy("x", "y").agg(F.sum("times").alias("n")).where("n > 1").select("x", "y")
+    hit = found.join(often, ["x", "y"], "left_semi")
+    return hit.select("one", "two", F.col("start").cast("int"), (F.col("start") + 1).cast("int").alias("end"))
 
 
 def spans(docs: DataFrame, scratch: Scratch, size: int = SIZE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The scan of all rows; the texts of rows with a repeated seed; the spans to remove (__hf_id, __hf_text, spans)."""
     scan = scratch.keep(_scan(docs, size), "scan")
     seeds = scan.select("__hf_id", "__hf_text", F.explode("runs").alias("r")).select("__hf_id", "__hf_text", "r.*")
-    often = seeds.groupBy("seed").agg(F.count("*").alias("times")).where("times > 1")
-    chosen = seeds.join(often, "seed").select("__hf_id", "__hf_text", F.struct("seed", "start", "n", (F.col("times") > HOT).alias("hot")).alias("r"))
+    often = seeds.groupBy("seed").agg(F.count("*").alias("n_runs")).where("n_runs > 1").select("seed")
+    chosen = seeds.join(often, "seed").select("__hf_id", "__hf_text", F.struct("seed", "start", "n").alias("r"))
     by_row = chosen.groupBy("__hf_id", "__hf_text").agg(F.collect_set("r").alias("runs"))
-    texts = scratch.keep(_keyed(docs).select("__hf_id", "__hf_text", "text").join(by_row, ["__hf_id", "__hf_text"]), "texts")
+    texts = scratch.keep(_keyed(docs).select("__hf_id", "__hf_text", "text").join(by_row.hint("merge"), ["__hf_id", "__hf_text"]), "texts")
 
     def cut(batches):
-        kind = [("__hf_id", pa.int64()), ("__hf_text", pa.int64()), ("seed", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("hot", pa.bool_()), ("words", pa.binary())]
         for b in batches:
-            out = [[] for _ in kind]
-            for i, t, text, found in zip(b.column("__hf_id").to_pylist(), b.column("__hf_text").to_pylist(), as_bytes(b.column("text")), b.column("runs").to_pylist(), strict=True):
-                words = text.split()
-                for r in found:
-                    for c, x in zip(out, (i, t, r["seed"], r["start"], r["n"], r["hot"], b" ".join(words[r["start"] : r["start"] + r["n"] + size - 1])), strict=True):
-                        c.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(out, kind, strict=True)], [k for k, _ in kind])
-
-    rows = texts.mapInArrow(cut, "__hf_id long, __hf_text long, seed long, start int, n int, hot boolean, words binary")
-    hot = scratch.keep(rows.where("hot"), "hot")
-    marked = _cold(rows.where("not hot"), size).union(_hot(hot, size))
-    out = scratch.keep(marked.groupBy("__hf_id", "__hf_text").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
-    scratch.drop("hot")
+            runs_ = b.column("runs")
+            inner = runs_.flatten()
+            n_runs = np.diff(runs_.offsets.to_numpy())
+            start, n = (inner.field(f).to_numpy() for f in ("start", "n"))
+            words, one, two, at = [], [], [], 0
+            for text, k in zip(as_bytes(b.column("text")), n_runs.tolist(), strict=True):
+                own = text.split()
+                for i, m in zip(start[at : at + k].tolist(), n[at : at + k].tolist(), strict=True):
+                    run = b" ".join(own[i : i + m + size - 1])
+                    words.append(run)
+                    one.append(xxhash.xxh3_64_intdigest(run))
+                    two.append(xxhash.xxh3_64_intdigest(run, 7))
+                at += k
+            ids = [pa.array(np.repeat(b.column(c).to_numpy(zero_copy_only=False), n_runs)) for c in ("__hf_id", "__hf_text")]
+            names = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two)]
+            yield pa.RecordBatch.from_arrays([*ids, inner.field("seed"), pa.array(start), *names, pa.array(words, pa.binary())], ["__hf_id", "__hf_text", "seed", "start", "one", "two", "words"])
+
+    rows = scratch.keep(texts.mapInArrow(cut, "__hf_id long, __hf_text long, seed long, start int, one long, two long, words binary"), "runs")
+    # equal runs once; their words come along once a task
+    different = rows.groupBy("seed", "one", "two").agg(F.count("*").alias("times"), F.first("words").alias("words"))
+    different = scratch.keep(different, "different")
+    size_of = different.groupBy("seed").agg(F.count("*").alias("n"), F.sum("times").alias("all")).where("all > 1")
+    # at most one seed in HOT runs is hot, so this side is small beside the other, and is broadcast only if it is small at all
+    hot = size_of.where(F.col("n") > HOT).select("seed")
+    cold = different.join(hot.hint("merge"), "seed", "left_anti")
+    marked = _cold(cold, size).union(_hot(different.join(hot.hint("merge"), "seed", "left_semi"), size))
+    marked = marked.groupBy("one", "two").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
+    placed = rows.select("__hf_id", "__hf_text", "one", "two", F.col("start").alias("run")).join(marked, ["one", "two"])
+    moved = F.transform("marks", lambda m: F.struct((m["start"] + F.col("run")).alias("start"), (m["end"] + F.col("run") + size - 1).alias("end")))
+    out = scratch.keep(placed.select("__hf_id", "__hf_text", moved.alias("s")).groupBy("__hf_id", "__hf_text").agg(F.flatten(F.collect_set("s")).alias("spans")), "spans")
+    scratch.drop("runs", "different")
     return scan, texts, out
 
 
