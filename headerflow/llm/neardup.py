@@ -1,9 +1,11 @@
 """Near duplicates by b-bit MinHash.
 
-A text's set is that of its 5-word shingles (words split at ASCII white space, A-Z lower-cased), each as a 64-bit hash. 512
-minima are taken; the first 48 bands of 5 whole minima give candidates, and the low 4 bits of all 512 are packed into a
-256-byte signature, whose agreement, corrected for chance collisions, estimates the similarity by bit counts. Pairs estimated
-far below the threshold are dropped (over four deviations), the others are confirmed on their full sets.
+A text's set is that of its 5-word shingles (words split at ASCII white space, A-Z lower-cased), each as a 64-bit hash. The
+range of hashes is cut into 512 bins; the least hash of each bin is a minimum, and an empty bin takes that of another one, in an
+order drawn for it once and for all, so that each bin agrees with the probability of the similarity. 48 bands of 5 whole minima
+give candidates; the low 4 bits of all minima are packed into a 256-byte signature, whose agreement, corrected for chance
+collisions, estimates the similarity by bit counts. Pairs estimated far below the threshold are dropped (over four deviations),
+the others are confirmed on their full sets.
 
 Texts with equal sets form a class first, with the least doc_id as its representative; only representatives are compared. Links
 are sought in two steps. First every member of a bucket is held against the bucket's least member only. Then, in the buckets
@@ -28,9 +30,9 @@ WORDS, HASHES, BITS, BANDS, ROWS = 5, 512, 4, 48, 5
 PART, WHOLE, LEAST = 75, 100, 0.66
 #: Members of a bucket that a task holds at once.
 BLOCK = 256
-_rng = np.random.default_rng(20240229)
-_MUL = (_rng.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1))[:, None]
-_ADD = _rng.integers(0, 1 << 32, HASHES, np.uint32)[:, None]
+#: For each bin the order in which it looks for another one that is not empty.
+_LENDERS = np.random.default_rng(20240229).permuted(np.tile(np.arange(HASHES, dtype=np.uint16), (HASHES, 1)), axis=1)
+_EDGES = np.arange(HASHES, dtype=np.uint64) << np.uint64(64 - 9)
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -43,26 +45,26 @@ def shingles(text: bytes) -> np.ndarray:
 
 
 def minima(s: np.ndarray) -> np.ndarray:
-    """The least value of each of HASHES permutations; s is not empty."""
-    x = (s >> np.uint64(32)).astype(np.uint32)
-    best = np.full(HASHES, 0xFFFFFFFF, np.uint32)
-    for a in range(0, len(x), 256):
-        m = _MUL * x[None, a : a + 256]
-        m += _ADD
-        np.minimum(best, m.min(axis=1), out=best)
-    return best
+    """The minimum of each bin; s ascends and is not empty."""
+    at = np.searchsorted(s, _EDGES)
+    full = np.diff(np.append(at, len(s))) > 0
+    out = s[np.minimum(at, len(s) - 1)]
+    if not full.all():
+        empty, lenders = np.flatnonzero(~full), np.flatnonzero(full)
+        out[empty] = out[lenders[_LENDERS[empty[:, None], lenders[None, :]].argmin(axis=1)]]
+    return out
 
 
 def bands(m: np.ndarray) -> np.ndarray:
     key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for r in range(ROWS):
-        key = mix(key + m[r : BANDS * ROWS : ROWS].astype(np.uint64))
+        key = mix(key + m[r : BANDS * ROWS : ROWS])
     return key.view(np.int64)
 
 
 def pack(m: np.ndarray) -> bytes:
-    """The low 4 bits of the minima, two a byte. Multiplication keeps low bits apart, so the middle ones are taken."""
-    low = ((m >> np.uint32(12)) & np.uint32(15)).astype(np.uint8)
+    """The low 4 bits of the minima, two a byte."""
+    low = (m & np.uint64(15)).astype(np.uint8)
     return (low[::2] << 4 | low[1::2]).tobytes()
 
 
@@ -114,7 +116,10 @@ def likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs whose full sets are similar enough. Sets are made for the documents that stand in a pair only."""
+    """The pairs whose full sets are similar enough. Sets are made for the documents that stand in a pair only.
+
+    Their texts are found by a shuffled join at every size, as their ids grow with the corpus.
+    """
 
     def sets(batches):
         for b in batches:
@@ -131,7 +136,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> D
 
     pairs = scratch.keep(pairs, f"{name}-pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    found = scratch.keep(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, set binary"), f"{name}-sets")
+    found = scratch.keep(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, set binary"), f"{name}-sets")
     one, two = (found.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
     links = scratch.keep(pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long"), f"{name}-links")
     scratch.drop(f"{name}-sets", f"{name}-pairs")
@@ -157,30 +162,69 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def _crossing(members: DataFrame) -> DataFrame:
-    """members: key, block, other, side, doc_id, component, signature. Likely pairs between components in each pair of blocks.
+    """members: key, band, block, other, side, doc_id, component, signature, bands. Likely pairs between components in each pair of blocks.
+
+    A pair that meets in several bands is told by the first of them.
 
-    A block meets itself (other = block) or another one of the same bucket; side says which of the two a row is.
+    A block meets itself (other = block) or another one of the same bucket; side says which of the two a row is. Meetings come
+    sorted, so a task holds some of them at a time, whatever their number.
     """
+    fields = ["key", "block", "other", "side", "doc_id", "component", "band"]
+    earlier = np.arange(BANDS)
+
+    def pairs(cols: dict, sig: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        comp, side, ids, band = cols["component"], cols["side"], cols["doc_id"], cols["band"]
+
+        def told(u, v):
+            ok = comp[u] != comp[v]
+            u, v = u[ok], v[ok]
+            ok = estimate(sig[u], sig[v]) >= LEAST
+            u, v = u[ok], v[ok]
+            ok = ~((keys[u] == keys[v]) & (earlier < band[u, None])).any(axis=1)
+            return u[ok], v[ok]
+
+        two = ends - starts == 2
+        found = [told(starts[two], starts[two] + 1)]  # most meetings are of two rows
+        for a, b in zip(starts[~two].tolist(), ends[~two].tolist(), strict=True):
+            cut = a + int(np.searchsorted(side[a:b], 1))
+            x, y = (np.triu_indices(b - a, 1)) if cut == b else (m.ravel() for m in np.indices((cut - a, b - cut)))
+            x, y = a + x, (a if cut == b else cut) + y
+            found += [told(x[i : i + 50_000], y[i : i + 50_000]) for i in range(0, len(x), 50_000)]
+        u, v = (ids[np.concatenate([f[i] for f in found])] for i in (0, 1))
+        low, high = np.minimum(u, v), np.maximum(u, v)
+        return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
-    def run(pdf):
-        one, two = pdf[pdf.side == 0], pdf[pdf.side == 1]
-        same = two.empty
-        two = one if same else two
-        x, y = (np.frombuffer(b"".join(d.signature), np.uint64).reshape(len(d), -1) for d in (one, two))
-        ids, comps = (one.doc_id.to_numpy(), two.doc_id.to_numpy()), (one.component.to_numpy(), two.component.to_numpy())
-        a, b = [], []
-        for i in range(len(one)):
-            start = i + 1 if same else 0
-            where = start + np.flatnonzero(comps[1][start:] != comps[0][i])
-            if len(where):
-                where = where[estimate(x[i][None, :], y[where]) >= LEAST]
-                a.append(np.minimum(ids[0][i], ids[1][where]))
-                b.append(np.maximum(ids[0][i], ids[1][where]))
-        import pandas as pd
+    def run(batches):
+        cols, sig = {f: np.zeros(0, np.int64) for f in fields}, np.zeros((0, HASHES * BITS // 64), np.uint64)
+        keys, held, rows = np.zeros((0, BANDS), np.int64), [], 0
+
+        def done(last: bool):
+            nonlocal cols, sig, keys, held, rows
+            cols = {f: np.concatenate([cols[f], *(b.column(f).to_numpy(zero_copy_only=False).astype(np.int64) for b in held)]) for f in fields}
+            sig = np.concatenate([sig, *(_u64(b.column("signature")) for b in held)])
+            keys = np.concatenate([keys, *(b.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS) for b in held)])
+            held, rows, n = [], 0, len(sig)
+            new = np.ones(n, np.bool_)
+            new[1:] = (cols["key"][1:] != cols["key"][:-1]) | (cols["block"][1:] != cols["block"][:-1]) | (cols["other"][1:] != cols["other"][:-1])
+            edges = np.append(np.flatnonzero(new), n)
+            if not last:
+                edges = edges[:-1]  # the last meeting may go on
+            out = pairs(cols, sig, keys, edges[:-1], edges[1:])
+            cols, sig, keys = {f: c[edges[-1] :] for f, c in cols.items()}, sig[edges[-1] :], keys[edges[-1] :]
+            return out
 
-        return pd.DataFrame({"a": np.concatenate(a) if a else [], "b": np.concatenate(b) if b else []}).astype("int64")
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+                rows += b.num_rows
+                if rows >= 20_000:
+                    yield done(False)
+        if held or len(sig):
+            yield done(True)
 
-    return members.groupBy("key", "block", "other").applyInPandas(run, "a long, b long")
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = members.select(*fields, "signature", "bands").repartition(n, "key", "block", "other").sortWithinPartitions("key", "block", "other", "side")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -189,23 +233,23 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     name = ["n_shingles", "set_a", "set_b"]
     classes = scratch.keep(sketches.where("n_shingles > 0").groupBy(*name).agg(F.min("doc_id").alias("rep")), "classes")
     reps = sketches.where("n_shingles > 0").join(classes.select("rep").withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rows = reps.select("doc_id", F.explode("bands").alias("key"))
+    rows = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     buckets = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
     members = scratch.keep(rows.join(buckets, "key"), "members")
-    signatures = reps.select("doc_id", "signature")
+    signatures = reps.select("doc_id", "signature", "bands")
     stars = members.where("doc_id != least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = confirm(likely(stars, signatures), docs, scratch, "stars")
     first = components(links, scratch, "first")
 
     # buckets that hold more than one component yet
     placed = members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    placed = scratch.keep(placed.select("key", "doc_id", "component", "n"), "placed")
+    placed = scratch.keep(placed.select("key", "band", "doc_id", "component", "n"), "placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
     open_ = placed.join(mixed, "key", "left_semi").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     open_ = open_.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     # a row goes to its block's meeting with each block of the bucket, and once to that with itself
     meets = open_.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meets = meets.select("key", F.least("own", "with").alias("block"), F.greatest("own", "with").alias("other"), F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"), "doc_id", "component")
+    meets = meets.select("key", "band", F.least("own", "with").alias("block"), F.greatest("own", "with").alias("other"), F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"), "doc_id", "component")
     crossing = _crossing(meets.join(signatures, "doc_id")).distinct()
     tested = stars.join(links, ["a", "b"], "left_anti")
     more = confirm(crossing.join(tested, ["a", "b"], "left_anti"), docs, scratch, "crossing")
@@ -217,10 +261,11 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of docs of which one of each component stays, whole; of rows that repeat a doc_id one stays."""
+    """The rows of docs of which one of each component stays, whole; of rows that repeat a doc_id one stays, without a doc_id all."""
     kept = near_duplicates(docs, scratch).where("doc_id = component_id").select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in docs.columns if c != "doc_id"])
-    return docs.join(kept, "doc_id", "left_semi").withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    order = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    once = docs.join(kept, "doc_id", "left_semi").withColumn("__hf_n", F.row_number().over(order)).where("__hf_n = 1").drop("__hf_n")
+    return once.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
