@@ -1,9 +1,9 @@
 """Near duplicates by b-bit MinHash.
 
 A text's set is that of its 5-word shingles (words split at ASCII white space, A-Z lower-cased), each as a 64-bit hash. The
-range of hashes is cut into 512 bins; the least hash of each bin is a minimum, and an empty bin takes that of another one, in an
+range of hashes is cut into 1024 bins; the least hash of each bin is a minimum, and an empty bin takes that of another one, in an
 order drawn for it once and for all, so that each bin agrees with the probability of the similarity. 48 bands of 5 whole minima
-give candidates; the low 4 bits of all minima are packed into a 256-byte signature, whose agreement, corrected for chance
+give candidates; the low 4 bits of all minima are packed into a 512-byte signature, whose agreement, corrected for chance
 collisions, estimates the similarity by bit counts. Pairs estimated far below the threshold are dropped (over four deviations),
 the others are confirmed on their full sets.
 
@@ -25,14 +25,16 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, as_bytes, bounded_batches, mix, table, windows, word_hashes
 
-WORDS, HASHES, BITS, BANDS, ROWS = 5, 512, 4, 48, 5
+WORDS, HASHES, BITS, BANDS, ROWS = 5, 1024, 4, 48, 5
 #: A pair is linked from PART of WHOLE on; an estimate below LEAST is a miss beyond doubt.
-PART, WHOLE, LEAST = 75, 100, 0.66
+PART, WHOLE, LEAST = 75, 100, 0.69
 #: Members of a bucket that a task holds at once.
 BLOCK = 256
-#: For each bin the order in which it looks for another one that is not empty.
-_LENDERS = np.random.default_rng(20240229).permuted(np.tile(np.arange(HASHES, dtype=np.uint16), (HASHES, 1)), axis=1)
-_EDGES = np.arange(HASHES, dtype=np.uint64) << np.uint64(64 - 9)
+#: For each bin the order in which it looks for another one that is not empty; a row a step.
+_LENDERS = np.ascontiguousarray(np.random.default_rng(20240229).permuted(np.tile(np.arange(HASHES, dtype=np.int16), (HASHES, 1)), axis=1).T)
+#: The same by step: when a bin comes to each other one.
+_STEP = np.argsort(_LENDERS, axis=0).astype(np.int16).T.copy()
+_EDGES = np.arange(HASHES, dtype=np.uint64) << np.uint64(64 - 10)
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -49,9 +51,17 @@ def minima(s: np.ndarray) -> np.ndarray:
     at = np.searchsorted(s, _EDGES)
     full = np.diff(np.append(at, len(s))) > 0
     out = s[np.minimum(at, len(s) - 1)]
-    if not full.all():
-        empty, lenders = np.flatnonzero(~full), np.flatnonzero(full)
-        out[empty] = out[lenders[_LENDERS[empty[:, None], lenders[None, :]].argmin(axis=1)]]
+    empty = np.flatnonzero(~full)
+    if len(empty) > HASHES - 32:  # few lenders: look up when each bin comes to them
+        lenders = np.flatnonzero(full)
+        out[empty] = out[lenders[_STEP[empty[:, None], lenders[None, :]].argmin(axis=1)]]
+        return out
+    step = 0
+    while len(empty):
+        lender = _LENDERS[step, empty]
+        found = full[lender]
+        out[empty[found]] = out[lender[found]]
+        empty, step = empty[~found], step + 1
     return out
 
 
