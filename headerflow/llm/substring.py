@@ -191,8 +191,8 @@ def spans(docs: DataFrame, scratch: Scratch, size: int = SIZE) -> tuple[DataFram
     size_of = different.groupBy("seed").agg(F.count("*").alias("n"), F.sum("times").alias("all")).where("all > 1")
     # at most one seed in HOT runs is hot, so this side is small beside the other, and is broadcast only if it is small at all
     hot = size_of.where(F.col("n") > HOT).select("seed")
-    cold = different.join(hot.hint("merge"), "seed", "left_anti")
-    marked = _cold(cold, size).union(_hot(different.join(hot.hint("merge"), "seed", "left_semi"), size))
+    cold = different.join(hot, "seed", "left_anti")
+    marked = _cold(cold, size).union(_hot(different.join(hot, "seed", "left_semi"), size))
     marked = marked.groupBy("one", "two").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
     placed = rows.select("__hf_id", "__hf_text", "one", "two", F.col("start").alias("run")).join(marked, ["one", "two"])
     moved = F.transform("marks", lambda m: F.struct((m["start"] + F.col("run")).alias("start"), (m["end"] + F.col("run") + size - 1).alias("end")))
