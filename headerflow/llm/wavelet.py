@@ -14,6 +14,7 @@ Null text: the end id alone. Empty table: no shards. Repeated rows are documents
 import os
 import struct
 import zlib
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,11 @@ from .bpe import WORDS
 from .common import Scratch, as_bytes, bounded_batches, table
 
 MAGIC, VERSION, BLOCK = b"HFWM", 1, 512
+#: Stands for a null doc_id in a shard.
+NO_ID = -(1 << 63)
 END = 2
+#: Marks that are cut off behind a word; no apostrophe, which begins words of the pattern.
+MARKS = ".,;:!?%*#$&"
 #: Ids of a shard at least, but for a task's last one.
 SHARD = 1_000_000
 
@@ -117,8 +122,8 @@ class WaveletMatrix:
         """Occurrences of a token from start to before end."""
         if not 0 <= token < 1 << self.planes:
             return 0
-        a, b = self._range(token, start, self.n if end is None else end)
-        return b - a
+        a, b = self._range(token, min(start, self.n), self.n if end is None else min(end, self.n))
+        return max(0, b - a)
 
     def locate(self, token: int, k: int) -> int:
         """Place of the k-th (from 0) occurrence."""
@@ -161,22 +166,37 @@ class FastEncoder:
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.cache: list[dict] = [{}, {}]  # pieces after a space; pieces that begin a line
         self.old: list[dict] = [{}, {}]
+        self.tails: dict[str, bytes] = {}
         self.feed_id = self.lib.token_to_id("\u010a")
         self.feed = np.array([self.feed_id], np.uint16).tobytes()
         vocab = self.lib.get_vocab()
         self.leads = np.zeros(max(vocab.values()) + 1, np.bool_)
         self.leads[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
 
-    def _fill(self, kind: int, pieces: set) -> None:
+    def _fill(self, kind: int, lists: list[list[str]]) -> None:
         """Puts all the pieces into the cache; when it is full, it becomes the older generation."""
-        need = pieces.difference(self.cache[kind])
-        if len(self.cache[kind]) + len(need) > WORDS * (1 if kind else 2):
+        need = set(filterfalse(self.cache[kind].__contains__, chain.from_iterable(lists)))
+        if len(self.cache[kind]) + len(need) > WORDS * (1 if kind else 3):
             self.old[kind], self.cache[kind] = self.cache[kind], {}
-            need = pieces
-        cache, old, new = self.cache[kind], self.old[kind], []
+            need = set(chain.from_iterable(lists))
+        cache, old, new, marked = self.cache[kind], self.old[kind], [], []
         for p in need:
             if (known := old.get(p, 0)) != 0:
                 cache[p] = known
+                continue
+            core = p.rstrip(MARKS)
+            if core and core.isalnum():  # marks after a word are a word of the pattern
+                if core != p:
+                    marked.append((p, core))
+                    if core in need or core in cache:
+                        continue
+                    if (known := old.get(core)) is not None:
+                        cache[core] = known
+                        continue
+                    cache[core] = b""  # so that it is asked for once
+                    new.append(core)
+                else:
+                    new.append(p)
             elif not p or p != p.strip() or any(s in p for s in self.special):
                 cache[p] = None
             else:
@@ -194,22 +214,32 @@ class FastEncoder:
                 ends = np.append(starts[1:], len(ids))
             for p, x, y in zip(part, (2 * starts).tolist(), (2 * ends).tolist(), strict=True):
                 cache[p] = raw[x:y]
+        for p, core in marked:
+            tail = p[len(core) :]
+            if tail not in self.tails:
+                self.tails[tail] = np.array(self.lib.encode(tail, add_special_tokens=False).ids, np.uint16).tobytes()
+            cache[p] = cache[core] + self.tails[tail]
+        if len(self.tails) > WORDS:
+            self.tails.clear()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as unsigned 16-bit integers."""
-        cut, spaced, first = [], set(), set()
+        cut, spaced, first = [], [], []
         for t in texts:
-            lines = [line.split(" ") for line in t.split("\n")] if t else []
+            lines = []
+            for line in t.split("\n") if t else ():
+                words = line.split(" ")
+                first.append(words[0])
+                del words[0]
+                lines.append((first[-1], words))
+                spaced.append(words)
             cut.append(lines)
-            for line in lines:
-                first.add(line[0])
-                spaced.update(line[1:])
         self._fill(0, spaced)
-        self._fill(1, first)
+        self._fill(1, [first])
         after, begins, out = self.cache[0].__getitem__, self.cache[1].__getitem__, []
         for t, lines in zip(texts, cut, strict=True):
             try:
-                out.append(self.feed.join([b"".join([begins(line[0]), *map(after, line[1:])]) for line in lines]))
+                out.append(self.feed.join([begins(w) + b"".join(map(after, words)) for w, words in lines]))
             except TypeError:  # a piece that cannot stand alone
                 out.append(np.array(self.lib.encode_batch_fast([t], add_special_tokens=False)[0].ids, np.uint16).tobytes())
         return out
@@ -236,7 +266,7 @@ def write(docs: DataFrame, path: str, scratch: Scratch, shard: int = SHARD) -> D
             docs_here = b.column("doc_id").to_pylist()
             for d, x in zip(docs_here, _encoders[path].encode([t.decode() for t in as_bytes(b.column("text"))]), strict=True):
                 ids.append(x + end)
-                docs_.append(d)
+                docs_.append(NO_ID if d is None else d)
                 held += len(x) // 2 + 1
                 if held >= shard:
                     yield cut()
@@ -269,7 +299,8 @@ def _read(shards: DataFrame, field: str, made, kind) -> DataFrame:
                 n = np.frombuffer(sizes, "<u4").astype(np.int64)
                 ends = np.cumsum(n)
                 out = [made(ids[e - k : e]) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(docs, "<i8")), pa.array(start + ends - n), pa.array(n), pa.array(out, kind)], ["doc_id", "start", "n_tokens", field.split()[0]])
+                own = np.frombuffer(docs, "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(own, mask=own == NO_ID), pa.array(start + ends - n), pa.array(n), pa.array(out, kind)], ["doc_id", "start", "n_tokens", field.split()[0]])
 
     return shards.join(F.broadcast(starts), ["part", "seq"]).select("doc_ids", "sizes", "file", "start").mapInArrow(run, f"doc_id long, start long, n_tokens long, {field}")
 
