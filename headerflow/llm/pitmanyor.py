@@ -13,7 +13,7 @@ its known words and of its places for unknown ones, whose spelling is not paid f
 The corpus is read once. Each task turns about CHUNK bytes of text into one row a word partition: the words, their spelling and
 where they stand (document, count). A word partition has all rows of its words: it counts training tokens, later seats its
 restaurant, and at last adds up each document's part, so neither words nor postings are ever in one place. The spelling model
-has A ** 4 cells at most (43 MB), whatever the corpus; it is fitted on the driver and broadcast.
+has A ** 4 cells (4 MB), whatever the corpus; it is fitted on the driver and broadcast.
 
 Null text is empty: the end token alone. Rows that repeat a doc_id are scored each. Without training tokens all probability is
 the spelling model's untrained one.
@@ -30,9 +30,9 @@ from .common import Scratch, as_bytes, bounded_batches, crc_mod, table, word_has
 #: The end token; no word has this byte.
 END = b"\r"
 #: Classes of bytes (0: a word's border, A-1: all but the most frequent), sweeps, and how many of these are not averaged.
-A, SWEEPS, BURN = 48, 4, 2
+A, SWEEPS, BURN = 32, 4, 2
 #: Strength of every restaurant; bytes of text that a task turns into postings at once.
-THETA, CHUNK = 1.0, 4_000_000
+THETA, CHUNK = 1.0, 2_500_000
 
 POSTINGS = "p int, batch long, docs binary, train binary, hashes binary, spelling binary, entries binary, place binary, times binary"
 
@@ -50,8 +50,11 @@ def postings(docs: DataFrame, parts: int) -> DataFrame:
         h = word_hashes(words)
         owner = np.repeat(np.arange(len(texts), dtype=np.int64), owner)
         unique, first, code = np.unique(h, return_index=True, return_inverse=True)
+        words = [words[i] for i in first.tolist()]
+        del h, first
         entry, times = np.unique(code.astype(np.int64) * len(texts) + owner, return_counts=True)
-        word, place = entry // len(texts), (entry % len(texts)).astype("<u4")
+        word, place = entry // len(texts), (entry % len(texts)).astype("<u2" if len(texts) <= 65536 else "<u4")
+        times = times.astype("<u1" if times.max() < 256 else "<u4")
         part = (unique >> np.uint64(32)) % np.uint64(parts)
         batch = TaskContext.get().partitionId() << 32 | seq
         ids, train = np.array(ids, "<i8").tobytes(), np.array(train, np.uint8).tobytes()
@@ -61,7 +64,7 @@ def postings(docs: DataFrame, parts: int) -> DataFrame:
             low, high = np.searchsorted(word, mine, "left"), np.searchsorted(word, mine, "right")
             n = high - low
             at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append((p, batch, ids, train, unique[mine].tobytes(), b"\n".join([words[i] for i in first[mine].tolist()]), n.astype("<u4").tobytes(), place[at].tobytes(), times[at].astype("<u4").tobytes()))
+            out.append((p, batch, ids, train, unique[mine].tobytes(), b"\n".join([words[i] for i in mine.tolist()]), n.astype("<u4").tobytes(), place[at].tobytes(), times[at].tobytes()))
         kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 7]
         names = [x.split()[0] for x in POSTINGS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
@@ -87,6 +90,11 @@ def _i(raw: bytes, kind: str = "<u4") -> np.ndarray:
     return np.frombuffer(raw, kind)
 
 
+def _sized(raw: bytes, n: int) -> np.ndarray:
+    """n unsigned integers of 1, 2 or 4 bytes each."""
+    return np.frombuffer(raw, f"<u{len(raw) // n}")
+
+
 class Words:
     """The words of a partition: hashes ascending, training counts, spelling."""
 
@@ -94,7 +102,8 @@ class Words:
         self.h, self.c, self.spell, self.new, self.held = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], [], 0
 
     def add(self, row: dict) -> None:
-        n, place, times, train = _i(row["entries"]).astype(np.int64), _i(row["place"]), _i(row["times"]), _i(row["train"], np.uint8)
+        n, train = _i(row["entries"]).astype(np.int64), _i(row["train"], np.uint8)
+        place, times = (_sized(row[x], int(n.sum())) for x in ("place", "times"))
         count = np.add.reduceat(times.astype(np.int64) * train[place], np.cumsum(n) - n)
         self.new.append((_i(row["hashes"], np.uint64), count, row["spelling"].split(b"\n")))
         self.held += len(n)
@@ -224,17 +233,28 @@ class Spelling:
         return np.log(np.maximum(self.levels[3], 1e-300)).astype(np.float32).reshape(-1)
 
 
+def pieces(spell: bytes, words: int = 20_000):
+    """Words joined by line feeds in pieces of so many words, so that what is made of their bytes stays small."""
+    ends = np.flatnonzero(np.frombuffer(spell + b"\n", np.uint8) == 10)
+    for a in range(0, len(ends), words):
+        last = min(a + words, len(ends)) - 1
+        yield a, last + 1, spell[ends[a - 1] + 1 if a else 0 : ends[last]]
+
+
 def _spelled(spell: bytes, classes: np.ndarray, other: float, logp: np.ndarray) -> np.ndarray:
     """Log probability of each word's spelling; other: that of a byte within the shared class."""
-    cell, first, shared = cells(spell, classes)
-    return np.add.reduceat(logp[cell].astype(np.float64) + shared * other, first)
+    out = []
+    for _, _, part in pieces(spell):
+        cell, first, shared = cells(part, classes)
+        out.append(np.add.reduceat(logp[cell].astype(np.float64) + shared * other, first))
+    return np.concatenate(out)
 
 
 def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """docs: doc_id, text, train. doc_id, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 3)
-    bounded_batches(spark, 64)
+    bounded_batches(spark, 16)
     rows = gathered(postings(docs, parts), parts, scratch)
     words = scratch.keep(rows.where("batch = -1").select("p", "hashes", "spelling", "entries", "tokens", "kinds", "ones", "twos"), "words")
     n, v, ones, twos = (int(x or 0) for x in words.agg(*(F.sum(c) for c in ("tokens", "kinds", "ones", "twos"))).first())
@@ -268,8 +288,9 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 for p, spell, c in zip(*(b.column(x).to_pylist() for x in ("p", "spelling", "entries")), strict=True):
                     t = seat(_i(c, "<i8"), (THETA + d * before) * np.exp(_spelled(spell, classes, other, logp)), d, np.random.default_rng([s, p]))
                     total += int(t.sum())
-                    cell, first, _ = cells(spell, classes)
-                    out += np.bincount(cell, np.repeat(t, np.diff(np.r_[first, len(cell)])), A**4).astype(np.int64)
+                    for x, y, part in pieces(spell):
+                        cell, first, _ = cells(part, classes)
+                        out += np.bincount(cell, np.repeat(t[x:y], np.diff(np.r_[first, len(cell)])), A**4).astype(np.int64)
             at = np.flatnonzero(out)
             yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1].astype(np.int64)), pa.array(np.r_[out[at], total].astype(np.int64))], ["cell", "n"])
 
@@ -279,6 +300,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
         counts[real.cell] = real.n
         tables.append(int(got.n[got.cell < 0].sum()))
         logs.append(spelling.sweep(counts, rng))
+        shared.destroy()
     kept = range(BURN + 1, SWEEPS + 1)
     spellings = spark.sparkContext.broadcast((classes, other, {s: logs[s] for s in range(BURN, SWEEPS + 1)}))
 
@@ -321,7 +343,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
                     continue
                 assert p == row["p"]
                 at = np.repeat(np.searchsorted(h, _i(row["hashes"], np.uint64)), _i(row["entries"]))
-                place, times, docs_ = _i(row["place"]), _i(row["times"]).astype(np.float64), _i(row["docs"], "<i8")
+                place, times, docs_ = _sized(row["place"], len(at)), _sized(row["times"], len(at)).astype(np.float64), _i(row["docs"], "<i8")
                 sums = [np.bincount(place, times * x, len(docs_)) for x in (1.0, known[at], base[at], score[at])]
                 has = np.flatnonzero(sums[0])
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(has), row["batch"])), pa.array(has.astype(np.int32)), pa.array(docs_[has]), pa.array(sums[0][has].astype(np.int64)), pa.array(sums[1][has].astype(np.int64)), pa.array(sums[2][has]), pa.array(sums[3][has])], ["batch", "nth", "doc_id", "n_tokens", "n_known", "base_score", "score"])
