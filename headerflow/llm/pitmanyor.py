@@ -1,25 +1,30 @@
 """Language-model scoring by a hierarchical Pitman-Yor model.
 
-The lowest restaurant seats the training corpus's tokens by word. Its tables are customers of a spelling model: a word that opens
-a table is spelled byte by byte, and each byte (as one of A classes) sits in the restaurant of the three classes before it,
-whose tables are customers of the restaurant of the two before it, and so on to the uniform distribution; so contexts share
-parents. Seating is sampled by Gibbs: each sweep seats every restaurant anew given its parent's predictive probabilities and
-its own number of tables. Predictive probabilities are averaged over the sweeps after BURN.
+Each word stands in the restaurant of the word before it (a text's first one in that of the text's start). These restaurants share
+a parent: their tables are customers of the one restaurant of words without context. Its tables are customers of a spelling model:
+a word that opens a table is spelled byte by byte, and each byte (as one of A classes) sits in the restaurant of the three classes
+before it, whose tables are customers of the restaurant of the two before it, and so on to the uniform distribution. Seating is
+sampled by Gibbs: each sweep seats every restaurant anew given its parent's predictive probabilities and its own number of tables.
+Predictive probabilities are averaged over the sweeps after BURN.
 
 As in the base, a token has as many outcomes as training has words, and one more: a word that training has not. The model gives
 that one the odds of a new table times the share of spellings that are no word of training, so the text's probability is that of
-its known words and of its places for unknown ones, whose spelling is not paid for.
+its known words and of its places for unknown ones, whose spelling is not paid for. A context that training has not has no
+customers, so its words have their probabilities without context.
 
-The corpus is read once. Each task turns about CHUNK bytes of text into one row a word partition: the words, their spelling and
-where they stand (document, count). A word partition has all rows of its words: it counts training tokens, later seats its
-restaurant, and at last adds up each document's part, so neither words nor postings are ever in one place. The spelling model
-has A ** 4 cells (4 MB), whatever the corpus; it is fitted on the driver and broadcast.
+The corpus is read twice, to count and to score. Each task turns about CHUNK bytes of text into one row a word partition: the
+words, the words before each, and then their training counts or where they stand (document, count). A word partition has all pairs
+that end in its words, so the customers of a context lie over all partitions, however frequent it is. After each sweep a partition
+tells the owner of each context (by its hash) how many customers and tables it has there, and gets the sums. Neither words, pairs
+nor contexts are ever in one place. The spelling model has A ** 4 cells (4 MB), whatever the corpus; it is fitted on the driver and
+broadcast.
 
 Null text is empty: the end token alone. Rows that repeat a doc_id are scored each. Without training tokens all probability is
 the spelling model's untrained one.
 """
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -27,47 +32,102 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, as_bytes, bounded_batches, crc_mod, table, word_hashes
 
-#: The end token; no word has this byte.
-END = b"\r"
+#: The end token and the context of a text's first word; no word has these bytes.
+END, START = b"\r", b"\n"
 #: Classes of bytes (0: a word's border, A-1: all but the most frequent), sweeps, and how many of these are not averaged.
 A, SWEEPS, BURN = 32, 4, 2
 #: Strength of every restaurant; bytes of text that a task turns into postings at once.
 THETA, CHUNK = 1.0, 2_500_000
 
-POSTINGS = "p int, batch long, docs binary, train binary, hashes binary, spelling binary, entries binary, place binary, times binary"
+POSTINGS = "p int, batch long, docs binary, train binary, hashes binary, spelling binary, pairs binary, contexts binary, context binary, entries binary, place binary, times binary"
+STATE = "p int, hashes binary, spelling binary, entries binary, pairs binary, contexts binary, context binary, counts binary, tokens long, kinds long, ones long, twos long, customers long, ones0 long, twos0 long"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: What a partition tells: ASK (to q: contexts, customers, tables), SEAT (customers and tables of words, tables of pairs), CELL (cells, customers, sums).
+MESSAGE = "kind int, p int, q int, a binary, b binary, c binary"
+ASK, SEAT, CELL = 0, 1, 2
 
 
-def postings(docs: DataFrame, parts: int) -> DataFrame:
-    """docs: doc_id, text, train (boolean). A row for each chunk and word partition."""
+def _batch(rows: list, schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    names, types = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, k in zip(zip(*rows, strict=True), types, strict=True)], list(names))
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs."""
+    top = int(x.max()) if len(x) else 0
+    return x.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8").tobytes()
+
+
+def _sized(raw: bytes, n: int) -> np.ndarray:
+    """n unsigned integers of 1, 2, 4 or 8 bytes each."""
+    return np.frombuffer(raw, f"<u{len(raw) // n}") if n else np.zeros(0, np.uint8)
+
+
+def _i(raw: bytes, kind: str = "<u4") -> np.ndarray:
+    return np.frombuffer(raw, kind)
+
+
+def _coded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and the place of each value among them."""
+    code, values = pd.factorize(x)
+    order = np.argsort(values)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return values[order], rank[code]
+
+
+def _spread(low: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places low[i], low[i] + 1, ... (n[i] of them) of each i."""
+    return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def postings(docs: DataFrame, parts: int, places: bool) -> DataFrame:
+    """docs: doc_id, text, train (boolean). A row for each chunk and word partition.
+
+    Pairs are sorted by word and context. entries: the pair's training count, or with places its number of documents.
+    """
 
     def rows(seq, ids, train, texts):
-        words, owner = [], []
+        words, owner = [START], []
         for t in texts:
             w = t.lower().split()
             w.append(END)
             words += w
             owner.append(len(w))
         h = word_hashes(words)
+        starts = np.cumsum(owner) - owner
         owner = np.repeat(np.arange(len(texts), dtype=np.int64), owner)
-        unique, first, code = np.unique(h, return_index=True, return_inverse=True)
+        unique, code = _coded(h)
+        first = np.empty(len(unique), np.int64)
+        first[code] = np.arange(len(code))
         words = [words[i] for i in first.tolist()]
+        before, code = code[:-1].copy(), code[1:]
+        before[starts] = np.searchsorted(unique, h[0])
         del h, first
-        entry, times = np.unique(code.astype(np.int64) * len(texts) + owner, return_counts=True)
-        word, place = entry // len(texts), (entry % len(texts)).astype("<u2" if len(texts) <= 65536 else "<u4")
-        times = times.astype("<u1" if times.max() < 256 else "<u4")
+        pair, code = _coded(code * len(unique) + before)
+        word, before = pair // len(unique), pair % len(unique)
+        if places:
+            entry, times = np.unique(code * len(texts) + owner, return_counts=True)
+            each, place = np.bincount(entry // len(texts), minlength=len(pair)), entry % len(texts)
+        else:
+            each = np.bincount(code, np.array(train, np.float64)[owner], len(pair)).astype(np.int64)
         part = (unique >> np.uint64(32)) % np.uint64(parts)
+        used = np.bincount(word, minlength=len(unique))
         batch = TaskContext.get().partitionId() << 32 | seq
-        ids, train = np.array(ids, "<i8").tobytes(), np.array(train, np.uint8).tobytes()
+        ids = np.array(ids, "<i8").tobytes() if places else b""
         out = []
-        for p in np.unique(part).tolist():
-            mine = np.flatnonzero(part == p)
-            low, high = np.searchsorted(word, mine, "left"), np.searchsorted(word, mine, "right")
-            n = high - low
-            at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append((p, batch, ids, train, unique[mine].tobytes(), b"\n".join([words[i] for i in mine.tolist()]), n.astype("<u4").tobytes(), place[at].tobytes(), times[at].tobytes()))
-        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 7]
-        names = [x.split()[0] for x in POSTINGS.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+        for p in np.unique(part[used > 0]).tolist():
+            mine = np.flatnonzero((part == p) & (used > 0))
+            n = used[mine]
+            at = _spread(np.searchsorted(word, mine, "left"), n)
+            contexts, context = np.unique(before[at], return_inverse=True)
+            spelling, where, times_ = b"\n".join([words[i] for i in mine.tolist()]) if not places else b"", b"", b""
+            if places:
+                rest = _spread((np.cumsum(each) - each)[at], each[at])
+                where, times_ = _packed(place[rest]), _packed(times[rest])
+            out.append((p, batch, ids, b"", unique[mine].tobytes(), spelling, n.astype("<u4").tobytes(), unique[contexts].tobytes(), _packed(context), _packed(each[at]), where, times_))
+        return _batch(out, POSTINGS)
 
     def run(batches):
         seq, ids, train, texts, size = 0, [], [], [], 0
@@ -86,60 +146,134 @@ def postings(docs: DataFrame, parts: int) -> DataFrame:
     return docs.select("doc_id", "text", "train").mapInArrow(run, POSTINGS)
 
 
-def _i(raw: bytes, kind: str = "<u4") -> np.ndarray:
-    return np.frombuffer(raw, kind)
-
-
-def _sized(raw: bytes, n: int) -> np.ndarray:
-    """n unsigned integers of 1, 2 or 4 bytes each."""
-    return np.frombuffer(raw, f"<u{len(raw) // n}")
-
-
 class Words:
-    """The words of a partition: hashes ascending, training counts, spelling."""
+    """The words of a partition (hashes ascending, spelling) and its pairs (by word, then context) with training counts."""
 
     def __init__(self):
-        self.h, self.c, self.spell, self.new, self.held = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], [], 0
+        self.h, self.spell, self.new, self.held = np.zeros(0, np.uint64), [], [], 0
+        self.pairs, self.more, self.many = tuple(np.zeros(0, k) for k in (np.uint64, np.uint64, np.int64)), [], 0
 
     def add(self, row: dict) -> None:
-        n, train = _i(row["entries"]).astype(np.int64), _i(row["train"], np.uint8)
-        place, times = (_sized(row[x], int(n.sum())) for x in ("place", "times"))
-        count = np.add.reduceat(times.astype(np.int64) * train[place], np.cumsum(n) - n)
-        self.new.append((_i(row["hashes"], np.uint64), count, row["spelling"].split(b"\n")))
-        self.held += len(n)
-        if self.held > len(self.h) + 200_000:
+        h, n = _i(row["hashes"], np.uint64), _i(row["pairs"])
+        k = int(n.sum())
+        self.new.append((h, row["spelling"].split(b"\n")))
+        self.more.append((np.repeat(h, n), _i(row["contexts"], np.uint64)[_sized(row["context"], k)], _sized(row["entries"], k).astype(np.int64)))
+        self.held, self.many = self.held + len(h), self.many + k
+        if self.held > len(self.h) + 200_000 or self.many > len(self.pairs[0]) + 1_000_000:
             self.merge()
 
     def merge(self) -> None:
         if self.new:
             h = np.concatenate([self.h, *(x[0] for x in self.new)])
-            spell = self.spell + [w for x in self.new for w in x[2]]
-            c = np.concatenate([self.c, *(x[1] for x in self.new)])
-            self.h, first, code = np.unique(h, return_index=True, return_inverse=True)
-            self.c = np.bincount(code, c, len(self.h)).astype(np.int64)
+            spell = self.spell + [w for x in self.new for w in x[1]]
+            self.h, first = np.unique(h, return_index=True)
             self.spell = [spell[i] for i in first.tolist()]
-            self.new, self.held = [], 0
-
-
-def gathered(rows: DataFrame, parts: int, scratch: Scratch) -> DataFrame:
-    """The postings by word partition, and after them a row (batch -1) with the words of each partition."""
-    schema = POSTINGS + ", tokens long, kinds long, ones long, twos long"
+            word, context, count = (np.concatenate([self.pairs[i], *(x[i] for x in self.more)]) for i in range(3))
+            order = np.lexsort((context, word))
+            word, context, count = word[order], context[order], count[order]
+            first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])])
+            self.pairs = word[first], context[first], np.add.reduceat(count, first)
+            self.new, self.more, self.held, self.many = [], [], 0, 0
+
+    def state(self, p: int) -> tuple:
+        self.merge()
+        word, context, count = self.pairs
+        first = np.searchsorted(word, self.h)
+        c, c0 = np.add.reduceat(count, first), np.add.reduceat((count > 0).astype(np.int64), first)
+        contexts, at = np.unique(context, return_inverse=True)
+        sums = [c.sum(), (c > 0).sum(), (count == 1).sum(), (count == 2).sum(), c0.sum(), (c0 == 1).sum(), (c0 == 2).sum()]
+        n = np.diff(np.append(first, len(word)))
+        return (p, self.h.tobytes(), b"\n".join(self.spell), c.astype("<i8").tobytes(), n.astype("<u4").tobytes(), contexts.tobytes(), at.astype("<u4").tobytes(), _packed(count), *map(int, sums))
+
+
+def gathered(rows: DataFrame, parts: int) -> DataFrame:
+    """The words and pairs of each word partition."""
 
     def run(batches):
         words: dict[int, Words] = {}
-        zero = None
         for b in batches:
             for row in b.to_pylist():
                 words.setdefault(row["p"], Words()).add(row)
-            zero = pa.array(np.zeros(b.num_rows, np.int64))
-            yield pa.RecordBatch.from_arrays([*b.columns, zero, zero, zero, zero], [*b.schema.names, "tokens", "kinds", "ones", "twos"])
-        for p, w in words.items():
-            w.merge()
-            row = {"p": p, "batch": -1, "docs": b"", "train": b"", "hashes": w.h.tobytes(), "spelling": b"\n".join(w.spell), "entries": w.c.astype("<i8").tobytes(), "place": b"", "times": b""}
-            row |= {"tokens": int(w.c.sum()), "kinds": int((w.c > 0).sum()), "ones": int((w.c == 1).sum()), "twos": int((w.c == 2).sum())}
-            yield pa.RecordBatch.from_pylist([row], pa.schema([("p", pa.int32()), ("batch", pa.int64()), *((x, pa.binary()) for x in ("docs", "train", "hashes", "spelling", "entries", "place", "times")), *((x, pa.int64()) for x in ("tokens", "kinds", "ones", "twos"))]))
+        for p in list(words):
+            yield _batch([words.pop(p).state(p)], STATE)
+
+    return rows.repartition(parts, "p").mapInArrow(run, STATE)
+
+
+class Pairs:
+    """The pairs of a partition's state: word and context of each, as places among the partition's words and contexts."""
+
+    def __init__(self, row: dict):
+        self.c, n = _i(row["entries"], "<i8"), _i(row["pairs"])
+        self.word, self.context = np.repeat(np.arange(len(n)), n), _i(row["context"])
+        self.contexts, self.count = _i(row["contexts"], np.uint64), _sized(row["counts"], len(self.word)).astype(np.int64)
+
+    def owner(self, parts: int) -> np.ndarray:
+        return (self.contexts >> np.uint64(32)) % np.uint64(parts)
 
-    return scratch.keep(rows.repartition(parts, "p").mapInArrow(run, schema), "postings")
+    def ask(self, p: int, t: np.ndarray, parts: int) -> list:
+        """What each owner must know: this partition's customers and tables (t: of each pair) of its contexts."""
+        q, n = self.owner(parts), len(self.contexts)
+        c, t = (np.bincount(self.context, x, n).astype(np.int64) for x in (self.count, t))
+        return [(ASK, p, k, self.contexts[q == k].tobytes(), _packed(c[q == k]), _packed(t[q == k])) for k in np.unique(q).tolist()]
+
+    def sums(self, box: dict, s: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Customers and tables of each context in all partitions, after sweep s."""
+        q, c, t = self.owner(parts), np.zeros(len(self.contexts)), np.zeros(len(self.contexts))
+        for k in np.unique(q).tolist():
+            at = np.flatnonzero(q == k)
+            c[at], t[at] = (_sized(box[s, k][x], len(at)) for x in ("b", "c"))
+        return c, t
+
+
+def answers(messages: DataFrame, parts: int) -> DataFrame:
+    """p, q, b, c: the sums over all partitions of the contexts that p asked q for."""
+
+    def reply(rows):
+        h = [_i(r["a"], np.uint64) for r in rows]
+        ends = np.cumsum([len(x) for x in h])
+        unique, code = np.unique(np.concatenate(h), return_inverse=True)
+        c, t = (np.bincount(code, np.concatenate([_sized(r[x], len(y)) for r, y in zip(rows, h, strict=True)]), len(unique)).astype(np.int64) for x in ("b", "c"))
+        for r, y, b in zip(rows, h, ends.tolist(), strict=True):
+            mine = code[b - len(y) : b]
+            yield _batch([(r["p"], r["q"], _packed(c[mine]), _packed(t[mine]))], "p int, q int, b binary, c binary")
+
+    def run(batches):
+        rows = []
+        for b in batches:
+            for r in b.to_pylist():
+                if rows and rows[0]["q"] != r["q"]:
+                    yield from reply(rows)
+                    rows = []
+                rows.append(r)
+        if rows:
+            yield from reply(rows)
+
+    asked = messages.where(F.col("kind") == ASK).drop("kind")
+    return asked.repartition(parts, "q").sortWithinPartitions("q", "p").mapInArrow(run, "p int, q int, b binary, c binary")
+
+
+def meeting(state: DataFrame, told: list, parts: int) -> DataFrame:
+    """Each partition's state behind what it was told. told: (sweep, messages) of each sweep that counts."""
+    box = None
+    for s, messages in told:
+        seats = messages.where(F.col("kind") == SEAT).select("p", F.lit(-1).alias("q"), "a", "b", "c")
+        both = seats.unionByName(answers(messages, parts), allowMissingColumns=True).withColumn("s", F.lit(s))
+        box = both if box is None else box.unionByName(both)
+    last = state.drop("tokens", "kinds", "ones", "twos", "customers", "ones0", "twos0").withColumn("s", F.lit(1 << 30))
+    return box.unionByName(last, allowMissingColumns=True).repartition(parts, "p").sortWithinPartitions("p", "s", "q")
+
+
+def _met(batches):
+    """The state row of each partition and what it was told, by sweep and sender (-1: its own seats)."""
+    box = {}
+    for b in batches:
+        for row in b.to_pylist():
+            if row["hashes"] is None:
+                box[row["s"], row["q"]] = row
+            else:
+                yield row, box
+                box = {}
 
 
 def seat(c: np.ndarray, pull: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
@@ -165,12 +299,15 @@ def seat(c: np.ndarray, pull: np.ndarray, d: float, rng: np.random.Generator) ->
     return t
 
 
-def discount(counts: np.ndarray) -> float:
+def _discount(one: int, two: int) -> float:
     """The usual estimate from what was seen once and twice."""
-    one, two = int((counts == 1).sum()), int((counts == 2).sum())
     return min(0.95, max(0.05, one / (one + 2 * two))) if one + two else 0.5
 
 
+def discount(counts: np.ndarray) -> float:
+    return _discount(int((counts == 1).sum()), int((counts == 2).sum()))
+
+
 def class_of(weights: np.ndarray) -> np.ndarray:
     """Class of each byte: the A-2 most frequent have one of their own, the others share the last."""
     out = np.full(256, A - 1, np.int64)
@@ -254,11 +391,13 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """docs: doc_id, text, train. doc_id, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 3)
-    bounded_batches(spark, 16)
-    rows = gathered(postings(docs, parts), parts, scratch)
-    words = scratch.keep(rows.where("batch = -1").select("p", "hashes", "spelling", "entries", "tokens", "kinds", "ones", "twos"), "words")
-    n, v, ones, twos = (int(x or 0) for x in words.agg(*(F.sum(c) for c in ("tokens", "kinds", "ones", "twos"))).first())
-    d = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones + twos else 0.5
+    bounded_batches(spark, 4)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # what a sweep shuffled goes as it ends; the result, which may be read again, stays out of this
+    state = scratch.keep(gathered(postings(docs, parts, False), parts), "state")
+    names = ("tokens", "kinds", "ones", "twos", "customers", "ones0", "twos0")
+    n, v, ones, twos, customers, ones0, twos0 = (int(x or 0) for x in state.agg(*(F.sum(c) for c in names)).first())
+    d = _discount(ones, twos)
 
     def weigh(batches):
         out = np.zeros(256, np.int64)
@@ -267,7 +406,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 out += np.bincount(np.frombuffer(s, np.uint8), minlength=256)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(256, dtype=np.int64)), pa.array(out)], ["byte", "n"])
 
-    got = words.select("spelling").mapInArrow(weigh, "byte long, n long").groupBy("byte").sum("n").toPandas()
+    got = state.select("spelling").mapInArrow(weigh, "byte long, n long").groupBy("byte").sum("n").toPandas()
     weights = np.zeros(256, np.int64)
     weights[got["byte"]] = got["sum(n)"]
     weights[10] = 0
@@ -275,34 +414,66 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
     rare = int((classes == A - 1).sum()) - 1  # the line feed stands in no word
     other = -float(np.log(max(1, rare)))
 
+    def begin(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                pairs = Pairs(row)
+                t = (pairs.count > 0).astype(np.int64)
+                c0 = np.bincount(pairs.word, t, len(pairs.c)).astype(np.int64)
+                yield _batch([*pairs.ask(row["p"], t, parts), (SEAT, row["p"], -1, _packed(c0), _packed((c0 > 0).astype(np.int64)), _packed(t))], MESSAGE)
+
     spelling, rng = Spelling(), np.random.default_rng(20)
     logs = [np.log(np.maximum(spelling.levels[3], 1e-300)).astype(np.float32).reshape(-1)]
-    tables = [v]
+    #: Of each sweep: customers, tables and discount of the restaurant without context.
+    seated = [(customers, v, _discount(ones0, twos0))]
+    told = [scratch.keep(state.mapInArrow(begin, MESSAGE), "told0")]
+
+    def words(row, box, s, spelled, seated):
+        """Probabilities without context of the words that training has, after sweep s."""
+        n0, tables, d0 = seated
+        k, seat_ = len(spelled), box[s, -1]
+        return (_sized(seat_["a"], k) - d0 * _sized(seat_["b"], k) + (THETA + d0 * tables) * spelled) / (THETA + n0)
+
     for s in range(1, SWEEPS + 1):
-        shared = spark.sparkContext.broadcast((classes, other, logs[-1], tables[-1]))
+        shared = spark.sparkContext.broadcast((classes, other, logs[-1], seated[-1]))
 
         def sample(batches, s=s, shared=shared):
-            classes, other, logp, before = shared.value
-            total, out = 0, np.zeros(A**4, np.int64)
+            classes, other, logp, seated = shared.value
+            for row, box in _met(batches):
+                p, spell, pairs = row["p"], row["spelling"], Pairs(row)
+                spelled = np.exp(_spelled(spell, classes, other, logp))
+                rng = np.random.default_rng([s, p])
+                _, tables = pairs.sums(box, s - 1, parts)
+                pull = (THETA + d * tables[pairs.context]) * words(row, box, s - 1, spelled, seated)[pairs.word]
+                t = seat(pairs.count, pull, d, rng)
+                c0 = np.bincount(pairs.word, t, len(pairs.c)).astype(np.int64)
+                t0 = seat(c0, (THETA + seated[2] * seated[1]) * spelled, seated[2], rng)
+                out = np.zeros(A**4, np.int64)
+                for x, y, part in pieces(spell):
+                    cell, first, _ = cells(part, classes)
+                    out += np.bincount(cell, np.repeat(t0[x:y], np.diff(np.r_[first, len(cell)])), A**4).astype(np.int64)
+                at = np.flatnonzero(out)
+                sums = np.array([c0.sum(), t0.sum(), (c0 == 1).sum(), (c0 == 2).sum()], "<i8").tobytes()
+                yield _batch([*pairs.ask(p, t, parts), (SEAT, p, -1, _packed(c0), _packed(t0), _packed(t)), (CELL, p, -1, at.astype("<u4").tobytes(), out[at].astype("<i8").tobytes(), sums)], MESSAGE)
+
+        def cell_counts(batches):
             for b in batches:
-                for p, spell, c in zip(*(b.column(x).to_pylist() for x in ("p", "spelling", "entries")), strict=True):
-                    t = seat(_i(c, "<i8"), (THETA + d * before) * np.exp(_spelled(spell, classes, other, logp)), d, np.random.default_rng([s, p]))
-                    total += int(t.sum())
-                    for x, y, part in pieces(spell):
-                        cell, first, _ = cells(part, classes)
-                        out += np.bincount(cell, np.repeat(t[x:y], np.diff(np.r_[first, len(cell)])), A**4).astype(np.int64)
-            at = np.flatnonzero(out)
-            yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1].astype(np.int64)), pa.array(np.r_[out[at], total].astype(np.int64))], ["cell", "n"])
-
-        got = words.select("p", "spelling", "entries").mapInArrow(sample, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+                for x, y, z in zip(*(b.column(c).to_pylist() for c in "abc"), strict=True):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.r_[_i(x).astype(np.int64), -1, -2, -3, -4]), pa.array(np.r_[_i(y, "<i8"), _i(z, "<i8")])], ["cell", "n"])
+
+        told.append(scratch.keep(meeting(state, [(s - 1, told[-1])], parts).mapInArrow(sample, MESSAGE), f"told{s}"))
+        if s - 1 <= BURN:
+            scratch.drop(f"told{s - 1}")
+        got = told[-1].where(F.col("kind") == CELL).mapInArrow(cell_counts, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
         counts = np.zeros(A**4, np.int64)
         real = got[got.cell >= 0]
         counts[real.cell] = real.n
-        tables.append(int(got.n[got.cell < 0].sum()))
+        sums = dict(zip(got.cell[got.cell < 0], got.n[got.cell < 0], strict=True))
+        seated.append((int(sums.get(-1, 0)), int(sums.get(-2, 0)), _discount(int(sums.get(-3, 0)), int(sums.get(-4, 0)))))
         logs.append(spelling.sweep(counts, rng))
         shared.destroy()
     kept = range(BURN + 1, SWEEPS + 1)
-    spellings = spark.sparkContext.broadcast((classes, other, {s: logs[s] for s in range(BURN, SWEEPS + 1)}))
+    spellings = spark.sparkContext.broadcast((classes, other, {s: logs[s] for s in kept}))
 
     def spelled_mass(batches):
         classes, other, logs = spellings.value
@@ -313,42 +484,49 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
                     total[s] += float(np.exp(_spelled(spell, classes, other, logs[s]))[_i(c, "<i8") > 0].sum())
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()))], ["s", "mass"])
 
-    seen = dict(words.select("spelling", "entries").mapInArrow(spelled_mass, "s int, mass double").groupBy("s").sum("mass").collect())
+    seen = dict(state.select("spelling", "entries").mapInArrow(spelled_mass, "s int, mass double").groupBy("s").sum("mass").collect())
     unseen = {s: max(1e-12, 1 - seen.get(s, 0.0)) for s in kept}
 
     def rate(batches):
         classes, other, logs = spellings.value
-        for b in batches:
-            for p, h, spell, c in zip(*(b.column(x).to_pylist() for x in ("p", "hashes", "spelling", "entries")), strict=True):
-                c = _i(c, "<i8")
-                pred = np.zeros(len(c))
-                spelled = {s: np.exp(_spelled(spell, classes, other, logs[s])) for s in logs}
-                for s in kept:  # the same seating as in that sweep, as the same numbers are drawn
-                    t = seat(c, (THETA + d * tables[s - 1]) * spelled[s - 1], d, np.random.default_rng([s, p]))
-                    pred += (c - d * t + (THETA + d * tables[s]) * spelled[s]) / (THETA + n)
-                new = sum((THETA + d * tables[s]) * unseen[s] / (THETA + n) for s in kept)
-                score = np.log10(np.maximum(np.where(c > 0, pred, new) / len(kept), 1e-300))
-                base = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
-                empty = b""
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([-1], pa.int64()), *(pa.array([x], pa.binary()) for x in (empty, (c > 0).astype(np.uint8).tobytes(), h, empty, score.tobytes(), base.tobytes(), empty))], [x.split()[0] for x in POSTINGS.split(", ")])
-
-    rated = scratch.keep(words.select("p", "hashes", "spelling", "entries").mapInArrow(rate, POSTINGS), "rated")
+        for row, box in _met(batches):
+            pairs = Pairs(row)
+            pred = np.zeros(len(pairs.word))
+            for s in kept:
+                n0, tables0, d0 = seated[s]
+                p0 = words(row, box, s, np.exp(_spelled(row["spelling"], classes, other, logs[s])), seated[s])
+                p0 = np.where(pairs.c > 0, p0, (THETA + d0 * tables0) * unseen[s] / (THETA + n0))
+                c, tables = (x[pairs.context] for x in pairs.sums(box, s, parts))
+                pred += (pairs.count - d * _sized(box[s, -1]["c"], len(pred)) + (THETA + d * tables) * p0[pairs.word]) / (THETA + c)
+            score = np.log10(np.maximum(pred / len(kept), 1e-300))
+            base = np.log10((pairs.c + 0.1) / (n + 0.1 * (v + 1)))
+            yield _batch([(row["p"], -1, b"", (pairs.c > 0).astype(np.uint8).tobytes(), row["hashes"], b"", row["pairs"], row["contexts"], row["context"], score.astype("<f4").tobytes(), base.tobytes(), b"")], POSTINGS)
+
+    rated = scratch.keep(meeting(state, [(s, told[s]) for s in kept], parts).mapInArrow(rate, POSTINGS), "rated")
+    scratch.drop("state", *(f"told{s}" for s in range(BURN + 1, SWEEPS + 1)))
+    spark.conf.set(CLEANUP, before)
 
     def add_up(batches):
-        p = known = h = score = base = None
+        p = known = h = contexts = keys = score = base = None
         for b in batches:
             for row in b.to_pylist():
                 if row["batch"] < 0:
-                    p, known, h, score, base = row["p"], _i(row["train"], np.uint8), _i(row["hashes"], np.uint64), _i(row["entries"], "<f8"), _i(row["place"], "<f8")
+                    p, known, h, score, base = row["p"], _i(row["train"], np.uint8), _i(row["hashes"], np.uint64), _i(row["entries"], "<f4"), _i(row["place"], "<f8")
+                    contexts = _i(row["contexts"], np.uint64)
+                    keys = np.repeat(np.arange(len(h)), _i(row["pairs"])) * len(contexts) + _i(row["context"])
                     continue
                 assert p == row["p"]
-                at = np.repeat(np.searchsorted(h, _i(row["hashes"], np.uint64)), _i(row["entries"]))
-                place, times, docs_ = _sized(row["place"], len(at)), _sized(row["times"], len(at)).astype(np.float64), _i(row["docs"], "<i8")
-                sums = [np.bincount(place, times * x, len(docs_)) for x in (1.0, known[at], base[at], score[at])]
+                word = np.repeat(np.searchsorted(h, _i(row["hashes"], np.uint64)), _i(row["pairs"]))
+                context = np.searchsorted(contexts, _i(row["contexts"], np.uint64))[_sized(row["context"], len(word))]
+                pair = np.searchsorted(keys, word * len(contexts) + context)
+                each = _sized(row["entries"], len(word))
+                word, pair = np.repeat(word, each), np.repeat(pair, each)
+                place, times, docs_ = _sized(row["place"], len(word)), _sized(row["times"], len(word)).astype(np.float64), _i(row["docs"], "<i8")
+                sums = [np.bincount(place, times * x, len(docs_)) for x in (1.0, known[word], base[word], score[pair])]
                 has = np.flatnonzero(sums[0])
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(has), row["batch"])), pa.array(has.astype(np.int32)), pa.array(docs_[has]), pa.array(sums[0][has].astype(np.int64)), pa.array(sums[1][has].astype(np.int64)), pa.array(sums[2][has]), pa.array(sums[3][has])], ["batch", "nth", "doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    both = rows.where("batch >= 0").drop("tokens", "kinds", "ones", "twos").union(rated)
+    both = postings(docs, parts, True).union(rated)
     parted = both.repartition(parts, "p").sortWithinPartitions("p", "batch")
     summed = parted.mapInArrow(add_up, "batch long, nth int, doc_id long, n_tokens long, n_known long, base_score double, score double")
     out = summed.groupBy("batch", "nth").agg(F.first("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))

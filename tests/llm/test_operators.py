@@ -383,6 +383,15 @@ def test_language_model_beats_its_base(spark, sf_dir):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
 
 
+def test_language_model_reads_words_in_context(spark):
+    """Two documents with the same words: the one in the corpus's order is likelier, and by the conditional probabilities of a bigram."""
+    train = " ".join(["red fox", "blue sky", "old man"][i * i % 7 % 3] for i in range(200))
+    rows = [(i, train, True) for i in range(5)] + [(10, "red fox blue sky old man", False), (11, "fox red sky blue man old", False), (12, "zzz fox", False), (13, "yyy fox", False), (14, "red zzz", False)]
+    got = {r.doc_id: r for r in pitmanyor.score_documents(spark.createDataFrame(rows, "doc_id long, text string, train boolean"), Scratch(spark, "t")).collect()}
+    assert got[10].base_score == pytest.approx(got[11].base_score) and got[10].score > got[11].score + 3
+    assert got[12].score == pytest.approx(got[13].score) and all(math.isfinite(r.score) for r in got.values())
+
+
 def test_seating():
     rng = np.random.default_rng(0)
     c, pull, d = np.full(4000, 40), np.full(4000, 3.0), 0.4
