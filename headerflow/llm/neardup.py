@@ -4,8 +4,13 @@ A text's set is that of its 5-word shingles (words split at ASCII white space, A
 range of hashes is cut into 1024 bins; the least hash of each bin is a minimum, and an empty bin takes that of another one, in an
 order drawn for it once and for all, so that each bin agrees with the probability of the similarity. 48 bands of 5 whole minima
 give candidates; the low 4 bits of all minima are packed into a 512-byte signature, whose agreement, corrected for chance
-collisions, estimates the similarity by bit counts. Pairs estimated far below the threshold are dropped (over four deviations),
-the others are confirmed on their full sets.
+collisions, estimates the similarity by bit counts. Pairs estimated far below the threshold are dropped, the others are confirmed
+on their full sets.
+
+In a set of few shingles one that shares its bin with a lesser one is lost to all bins, which moves minima and estimate far. So
+texts of up to SMALL shingles carry their set: two of them are compared by it, whatever the estimate. Their bands are of minima
+that each hash the whole set anew. Similar sets differ in size by the threshold at most, so a pair with a larger set has FEW
+shingles on either side; texts of FEW to SMALL shingles have bands of both kinds.
 
 Texts with equal sets form a class first, with the least doc_id as its representative; only representatives are compared. Links
 are sought in two steps. First every member of a bucket is held against the bucket's least member only. Then, in the buckets
@@ -27,13 +32,18 @@ from .common import Scratch, as_bytes, bounded_batches, mix, table, windows, wor
 
 WORDS, HASHES, BITS, BANDS, ROWS = 5, 1024, 4, 48, 5
 #: A pair is linked from PART of WHOLE on; an estimate below LEAST is a miss beyond doubt.
-PART, WHOLE, LEAST = 75, 100, 0.69
+PART, WHOLE, LEAST = 75, 100, 0.66
+#: Sets up to SMALL are carried; FEW is the least set that is similar to a larger one.
+SMALL, FEW = 85, 64
 #: Members of a bucket that a task holds at once.
 BLOCK = 256
 #: For each bin the order in which it looks for another one that is not empty; a row a step.
 _LENDERS = np.ascontiguousarray(np.random.default_rng(20240229).permuted(np.tile(np.arange(HASHES, dtype=np.int16), (HASHES, 1)), axis=1).T)
 #: The same by step: when a bin comes to each other one.
 _STEP = np.argsort(_LENDERS, axis=0).astype(np.int16).T.copy()
+#: Of each small-set minimum the key that its hashes are mixed with; what fills up carried sets.
+_KEYS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+_PAD = np.uint64(2**64 - 1) - np.arange(SMALL, dtype=np.uint64)
 _EDGES = np.arange(HASHES, dtype=np.uint64) << np.uint64(64 - 10)
 
 
@@ -65,13 +75,24 @@ def minima(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def bands(m: np.ndarray) -> np.ndarray:
-    key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+def small_minima(s: np.ndarray) -> np.ndarray:
+    """For each key the shingle whose hash with it is least; s is a small set."""
+    return s[mix(s[None, :] ^ _KEYS[:, None]).argmin(axis=1)]
+
+
+def bands(m: np.ndarray, first: int = 0) -> np.ndarray:
+    key = np.arange(first + 1, first + BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for r in range(ROWS):
         key = mix(key + m[r : BANDS * ROWS : ROWS])
     return key.view(np.int64)
 
 
+def band_keys(s: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Bands of the minima m of s, then those of a small set; 0 for those that s has not."""
+    none = np.zeros(BANDS, np.int64)
+    return np.concatenate([bands(m) if len(s) >= FEW else none, bands(small_minima(s), BANDS) if len(s) <= SMALL else none])
+
+
 def pack(m: np.ndarray) -> bytes:
     """The low 4 bits of the minima, two a byte."""
     low = (m & np.uint64(15)).astype(np.uint8)
@@ -88,23 +109,49 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (same - 2.0**-BITS) / (1 - 2.0**-BITS)
 
 
+def _sets(column) -> np.ndarray:
+    """Carried sets, one a row, filled up to SMALL."""
+    raw = column.to_pylist()
+    n = np.array([len(x) // 8 for x in raw], np.int64)
+    out = np.tile(_PAD, (len(raw), 1))
+    out[np.arange(SMALL) < n[:, None]] = np.frombuffer(b"".join(raw), np.uint64)
+    return out
+
+
+def alike(n: tuple, signatures: tuple, sets: tuple) -> np.ndarray:
+    """For each pair (sizes, signatures and carried sets of either side) whether it may be similar: small sets exactly, others by estimate."""
+    low, high = np.minimum(*n), np.maximum(*n)
+    ok = low * WHOLE >= PART * high
+    small = high <= SMALL
+    large = np.flatnonzero(ok & ~small)
+    ok[large] = estimate(signatures[0][large], signatures[1][large]) >= LEAST
+    small = np.flatnonzero(ok & small)
+    for i in range(0, len(small), 10_000):
+        at = small[i : i + 10_000]
+        both = np.sort(np.concatenate([sets[0][at], sets[1][at]], axis=1), axis=1)
+        both = (both[:, 1:] == both[:, :-1]).sum(axis=1) - (SMALL - high[at])  # without what fills up both
+        ok[at] = WHOLE * both >= PART * (low[at] + high[at] - both)
+    return ok
+
+
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b (a 128-bit name of the set), bands, signature; the last two null for an empty set."""
+    """doc_id, n_shingles, set_a, set_b (a 128-bit name of the set), bands, signature, small (the set if it is small); the last three null for an empty set."""
 
     def run(batches):
         for b in batches:
-            n, one, two, keys, sigs = [], [], [], [], []
+            n, one, two, keys, sigs, small = [], [], [], [], [], []
             for t in as_bytes(b.column("text")):
                 s = shingles(t)
                 n.append(len(s))
                 one.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
                 two.append(int(np.bitwise_xor.reduce(mix(s + np.uint64(0x5851F42D4C957F2D))).astype(np.int64)) if len(s) else 0)
                 m = minima(s) if len(s) else None
-                keys.append(bands(m) if m is not None else None)
+                keys.append(band_keys(s, m) if m is not None else None)
                 sigs.append(pack(m) if m is not None else None)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "set_a", "set_b", "bands", "signature"])
+                small.append((s.tobytes() if len(s) <= SMALL else b"") if m is not None else None)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary()), pa.array(small, pa.binary())], ["doc_id", "n_shingles", "set_a", "set_b", "bands", "signature", "small"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary, small binary")
 
 
 def _u64(column) -> np.ndarray:
@@ -113,16 +160,17 @@ def _u64(column) -> np.ndarray:
 
 
 def likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose estimate is not beyond doubt too low."""
+    """The pairs (a, b) that may be similar."""
 
     def run(batches):
         for p in batches:
             if p.num_rows:
-                ok = estimate(_u64(p.column("sig_a")), _u64(p.column("sig_b"))) >= LEAST
+                n, sigs, sets = (tuple(f(p.column(f"{c}_{x}")) for x in "ab") for c, f in (("n", lambda c: c.to_numpy()), ("sig", _u64), ("set", _sets)))
+                ok = alike(n, sigs, sets)
                 yield pa.RecordBatch.from_arrays([p.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
 
-    one, two = (signatures.select(F.col("doc_id").alias(x), F.col("signature").alias(f"sig_{x}")) for x in "ab")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    one, two = (signatures.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("signature").alias(f"sig_{x}"), F.col("small").alias(f"set_{x}")) for x in "ab")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -172,25 +220,25 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def _crossing(members: DataFrame) -> DataFrame:
-    """members: key, band, block, other, side, doc_id, component, signature, bands. Likely pairs between components in each pair of blocks.
+    """members: key, band, block, other, side, doc_id, component, n_shingles, signature, small, bands. Likely pairs between components in each pair of blocks.
 
     A pair that meets in several bands is told by the first of them.
 
     A block meets itself (other = block) or another one of the same bucket; side says which of the two a row is. Meetings come
     sorted, so a task holds some of them at a time, whatever their number.
     """
-    fields = ["key", "block", "other", "side", "doc_id", "component", "band"]
-    earlier = np.arange(BANDS)
+    fields = ["key", "block", "other", "side", "doc_id", "component", "band", "n_shingles"]
+    earlier = np.arange(2 * BANDS)
 
-    def pairs(cols: dict, sig: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        comp, side, ids, band = cols["component"], cols["side"], cols["doc_id"], cols["band"]
+    def pairs(cols: dict, sig: np.ndarray, sets: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        comp, side, ids, band, n = cols["component"], cols["side"], cols["doc_id"], cols["band"], cols["n_shingles"]
 
         def told(u, v):
             ok = comp[u] != comp[v]
             u, v = u[ok], v[ok]
-            ok = estimate(sig[u], sig[v]) >= LEAST
+            ok = alike((n[u], n[v]), (sig[u], sig[v]), (sets[u], sets[v]))
             u, v = u[ok], v[ok]
-            ok = ~((keys[u] == keys[v]) & (earlier < band[u, None])).any(axis=1)
+            ok = ~((keys[u] == keys[v]) & (keys[u] != 0) & (earlier < band[u, None])).any(axis=1)
             return u[ok], v[ok]
 
         two = ends - starts == 2
@@ -206,21 +254,22 @@ def _crossing(members: DataFrame) -> DataFrame:
 
     def run(batches):
         cols, sig = {f: np.zeros(0, np.int64) for f in fields}, np.zeros((0, HASHES * BITS // 64), np.uint64)
-        keys, held, rows = np.zeros((0, BANDS), np.int64), [], 0
+        sets, keys, held, rows = np.zeros((0, SMALL), np.uint64), np.zeros((0, 2 * BANDS), np.int64), [], 0
 
         def done(last: bool):
-            nonlocal cols, sig, keys, held, rows
+            nonlocal cols, sig, sets, keys, held, rows
             cols = {f: np.concatenate([cols[f], *(b.column(f).to_numpy(zero_copy_only=False).astype(np.int64) for b in held)]) for f in fields}
             sig = np.concatenate([sig, *(_u64(b.column("signature")) for b in held)])
-            keys = np.concatenate([keys, *(b.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS) for b in held)])
+            sets = np.concatenate([sets, *(_sets(b.column("small")) for b in held)])
+            keys = np.concatenate([keys, *(b.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, 2 * BANDS) for b in held)])
             held, rows, n = [], 0, len(sig)
             new = np.ones(n, np.bool_)
             new[1:] = (cols["key"][1:] != cols["key"][:-1]) | (cols["block"][1:] != cols["block"][:-1]) | (cols["other"][1:] != cols["other"][:-1])
             edges = np.append(np.flatnonzero(new), n)
             if not last:
                 edges = edges[:-1]  # the last meeting may go on
-            out = pairs(cols, sig, keys, edges[:-1], edges[1:])
-            cols, sig, keys = {f: c[edges[-1] :] for f, c in cols.items()}, sig[edges[-1] :], keys[edges[-1] :]
+            out = pairs(cols, sig, sets, keys, edges[:-1], edges[1:])
+            cols, sig, sets, keys = {f: c[edges[-1] :] for f, c in cols.items()}, sig[edges[-1] :], sets[edges[-1] :], keys[edges[-1] :]
             return out
 
         for b in batches:
@@ -233,7 +282,7 @@ def _crossing(members: DataFrame) -> DataFrame:
             yield done(True)
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = members.select(*fields, "signature", "bands").repartition(n, "key", "block", "other").sortWithinPartitions("key", "block", "other", "side")
+    dealt = members.select(*fields, "signature", "small", "bands").repartition(n, "key", "block", "other").sortWithinPartitions("key", "block", "other", "side")
     return dealt.mapInArrow(run, "a long, b long")
 
 
@@ -243,10 +292,10 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     name = ["n_shingles", "set_a", "set_b"]
     classes = scratch.keep(sketches.where("n_shingles > 0").groupBy(*name).agg(F.min("doc_id").alias("rep")), "classes")
     reps = sketches.where("n_shingles > 0").join(classes.select("rep").withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rows = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
+    rows = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).where("key != 0")
     buckets = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
     members = scratch.keep(rows.join(buckets, "key"), "members")
-    signatures = reps.select("doc_id", "signature", "bands")
+    signatures = reps.select("doc_id", "n_shingles", "signature", "small", "bands")
     stars = members.where("doc_id != least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = confirm(likely(stars, signatures), docs, scratch, "stars")
     first = components(links, scratch, "first")

@@ -136,6 +136,36 @@ def test_estimate():
         assert abs(float(neardup.estimate(*s)) - true) < 0.1
 
 
+def test_small_sets_at_the_threshold(spark):
+    """Pairs of few shingles with a similarity of exactly 0.75: the estimate alone loses some."""
+    rows, lost = [], 0
+    for i in range(4000):
+        k = (4, 8, 12, 40, 80)[i % 5]
+        w = [f"x{i}y{j}" for j in range(k + 4)]
+        a, b = " ".join(w), " ".join(w[: k * 3 // 4 + 4])
+        rows += [(2 * i, a), (2 * i + 1, b)]
+        s = [np.frombuffer(neardup.pack(neardup.minima(neardup.shingles(t.encode()))), np.uint64) for t in (a, b)]
+        lost += float(neardup.estimate(*s)) < 0.69
+    assert lost > 0
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame(spark, rows), Scratch(spark, "t")).collect()}
+    assert got == {i: i // 2 * 2 for i, _ in rows}
+
+
+def test_alike():
+    rng = np.random.default_rng(6)
+    sets = [[], []]
+    for _ in range(300):
+        x = rng.choice(120, rng.integers(1, 86), replace=False)
+        y = np.concatenate([x[: rng.integers(0, len(x) + 1)], 200 + rng.choice(120, rng.integers(1, 12), replace=False)])[:85]
+        for side, z in zip(sets, (x, y), strict=True):
+            side.append(np.unique(neardup.mix(z.astype(np.uint64))))
+    want = [4 * len(np.intersect1d(x, y)) >= 3 * len(np.union1d(x, y)) for x, y in zip(*sets, strict=True)]
+    n = tuple(np.array([len(x) for x in side]) for side in sets)
+    carried = tuple(neardup._sets(__import__("pyarrow").array([x.tobytes() for x in side])) for side in sets)
+    none = np.zeros((300, 64), np.uint64)
+    assert neardup.alike(n, (none, none), carried).tolist() == want and 0 < sum(want) < 300
+
+
 # 3
 
 
