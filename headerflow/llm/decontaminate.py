@@ -9,8 +9,11 @@ mere likeness of shape is not.
 Only windows around an anchor need a template: each benchmark window names its longest literal word as its anchor, which every
 matching window has at the same place. Beyond ANCHORS distinct anchors they are joined instead of tested in place.
 
-Null and empty texts match nothing. Windows with under LITERAL of their words literal match nothing, as do items without such a
-window. Repeated rows count once. An empty benchmark gives an empty result.
+A window with under LITERAL of its words literal has a template that says little, so it matches with its own values only: the same
+words, but for case and marks. Such matches tell documents that have no other match with the item; they count in n_windows only
+there, as the SQL has none of them.
+
+Null and empty texts match nothing. Repeated rows count once. An empty benchmark gives an empty result.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,17 +61,22 @@ def slots(words: Column) -> Column:
     return F.transform(F.filter(words, lambda w, i: _kind(words, w, i).isNotNull()), literal)
 
 
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """item_id, size, template, slots, anchor, offset of each usable window."""
+    """item_id, size, verbatim (matches with its own values only), template, slots, anchor, offset of each window."""
     words = items.select("item_id", words_of("text").alias("w")).where(F.size("w") > 0)
     size = F.least(F.lit(SIZE), F.size("w"))
     each = words.select("item_id", size.alias("size"), "w", F.explode(F.sequence(F.lit(1), F.size("w") - size + 1)).alias("at"))
-    each = each.select("item_id", "size", F.slice("w", F.col("at"), F.col("size")).alias("w")).select("item_id", "size", template(F.col("w")).alias("t"), slots(F.col("w")).alias("slots"))
+    each = each.select("item_id", "size", F.slice("w", F.col("at"), F.col("size")).alias("w")).select("item_id", "size", F.transform("w", literal).alias("own"), template(F.col("w")).alias("t"), slots(F.col("w")).alias("slots"))
     plain = each.withColumn("plain", F.filter("t", lambda x: ~x.startswith("<") & (x != "")))
-    plain = plain.where(F.size("plain") >= F.ceil(F.col("size") * LITERAL))
+    plain = plain.withColumn("verbatim", F.size("plain") < F.ceil(F.col("size") * LITERAL))
+    own = plain.select("item_id", "size", "verbatim", *(F.when(F.col("verbatim"), x).otherwise(F.col(y)).alias(y) for x, y in ((F.col("own"), "t"), (_none(), "slots"), (F.col("own"), "plain"))))
     longest = F.aggregate("plain", F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
-    out = plain.withColumn("anchor", longest).withColumn("offset", (F.array_position("t", F.col("anchor")) - 1).cast("int"))
-    return out.select("item_id", "size", F.array_join("t", " ").alias("template"), "slots", "anchor", "offset").distinct()
+    out = own.withColumn("anchor", longest).withColumn("offset", (F.array_position("t", F.col("anchor")) - 1).cast("int"))
+    return out.select("item_id", "size", "verbatim", F.array_join("t", " ").alias("template"), "slots", "anchor", "offset").distinct()
 
 
 def _around(words: Column, keep=None) -> Column:
@@ -81,27 +89,29 @@ def _around(words: Column, keep=None) -> Column:
 
 
 def matches(docs: DataFrame, items: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, item_id, start, same (slots equal too) of each window of docs (doc_id, text) that an item has."""
+    """doc_id, item_id, start, verbatim, same (slots equal too) of each window of docs (doc_id, text) that an item has."""
     bench = scratch.keep(benchmark_windows(items), "benchmark")
     n = bench.count()
     small = F.broadcast if n <= BROADCAST else lambda df: df
     anchors = bench.select("anchor").distinct().limit(ANCHORS + 1).collect()
     keep = None if len(anchors) > ANCHORS else (lambda w: w.isin([r[0] for r in anchors])) if anchors else (lambda w: F.lit(False))
     found = docs.select("doc_id", words_of("text").alias("w")).select("doc_id", F.explode(_around(F.col("w"), keep)).alias("x")).select("doc_id", "x.*")
-    at = found.join(small(bench.select("anchor", "offset", "size").distinct()), "anchor").where(F.col("place") >= F.col("offset"))
+    at = found.join(small(bench.select("anchor", "offset", "size", "verbatim").distinct()), "anchor").where(F.col("place") >= F.col("offset"))
     part = F.slice("near", F.greatest(F.col("before") - F.col("offset") + 1, F.lit(1)), F.col("size"))
-    at = at.select("doc_id", (F.col("place") - F.col("offset")).alias("start"), "size", part.alias("w")).where(F.size("w") == F.col("size"))
-    at = at.select("doc_id", "start", "size", F.array_join(template(F.col("w")), " ").alias("template"), slots(F.col("w")).alias("here"))
-    both = at.join(small(bench.select("item_id", "size", "template", "slots")), ["size", "template"])
+    at = at.select("doc_id", (F.col("place") - F.col("offset")).alias("start"), "size", "verbatim", part.alias("w")).where(F.size("w") == F.col("size"))
+    words = F.when(F.col("verbatim"), F.transform("w", literal)).otherwise(template(F.col("w")))
+    at = at.select("doc_id", "start", "size", "verbatim", F.array_join(words, " ").alias("template"), F.when(F.col("verbatim"), _none()).otherwise(slots(F.col("w"))).alias("here"))
+    both = at.join(small(bench.select("item_id", "size", "verbatim", "template", "slots")), ["size", "verbatim", "template"])
     pairs = F.size(F.array_distinct(F.arrays_zip("slots", "here")))
     both = both.where((pairs == F.size(F.array_distinct("slots"))) & (pairs == F.size(F.array_distinct("here"))))
-    return both.groupBy("doc_id", "item_id", "start").agg(F.max(F.col("slots") == F.col("here")).alias("same"))
+    return both.groupBy("doc_id", "item_id", "start", "verbatim").agg(F.max(F.col("slots") == F.col("here")).alias("same"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, item_id, n_windows, n_exact (with the benchmark's own values), first_word of each contaminated pair."""
-    found = matches(docs, items, scratch)
-    return found.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_windows"), F.count_if("same").alias("n_exact"), F.min("start").cast("long").alias("first_word"))
+    each = matches(docs, items, scratch).groupBy("doc_id", "item_id", "verbatim").agg(F.count("*").alias("n"), F.count_if("same").alias("same"), F.min("start").cast("long").alias("first"))
+    first = F.min(F.struct("verbatim", "n", "same", "first")).alias("x")  # templates before verbatim windows
+    return each.groupBy("doc_id", "item_id").agg(first).select("doc_id", "item_id", F.col("x.n").alias("n_windows"), F.col("x.same").alias("n_exact"), F.col("x.first").alias("first_word"))
 
 
 def clean(docs: DataFrame, items: DataFrame, scratch: Scratch) -> DataFrame:

@@ -290,6 +290,16 @@ def test_decontamination_parameters(spark, tmp_path, monkeypatch):
         same(df, con, registry.oracle_sql()["op6_decontaminate"])
 
 
+def test_decontamination_of_items_full_of_numbers(spark, tmp_path, monkeypatch):
+    items = [(1, "Compute 3 + 4 * 7 - 2 / 5"), (2, "What is 12 * 7?"), (3, "12 7"), (4, "* ?")]
+    rows = [(1, "We ask: Compute 3 + 4 * 7 - 2 / 5 and more"), (2, "so what is 12 * 7 then"), (3, "compute 9 + 8 * 1 - 3 / 6"), (4, "What is 13 * 7?"), (5, "12 8"), (6, "it has 12 7 in it"), (7, None)]
+    f = tables(spark, tmp_path / "x", [*rows, rows[0]], items=items)
+    for limit in (20_000, 0):
+        monkeypatch.setattr(decontaminate, "ANCHORS", limit)
+        got = {(r.doc_id, r.item_id): (r.n_windows, r.n_exact, r.first_word) for r in registry.queries()["op6_decontaminate"](spark, f).collect()}
+        assert got == {(1, 1): (3, 3, 2), (2, 2): (1, 1, 1), (6, 3): (1, 1, 2)}
+
+
 # 7
 
 
