@@ -115,9 +115,11 @@ def contamination(docs: DataFrame, items: DataFrame, scratch: Scratch) -> DataFr
 
 
 def clean(docs: DataFrame, items: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of docs without any match."""
-    bad = scratch.keep(matches(docs, items, scratch).select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti")
+    """The rows of docs without any match. A row is named by its id, or none, and its text, as ids may repeat or be null."""
+    name = F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.xxhash64("text").cast("string"))
+    found = matches(docs.select(name.alias("doc_id"), "text"), items, scratch)
+    bad = scratch.keep(found.select(F.col("doc_id").alias("__hf_row")).distinct(), "contaminated")
+    return docs.withColumn("__hf_row", name).join(bad, "__hf_row", "left_anti").select(*docs.columns)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

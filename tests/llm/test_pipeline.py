@@ -58,6 +58,13 @@ def test_decontamination(spark, folder):
     assert {i for i, _ in ROWS} - {r.doc_id for r in out.collect()} == {900}
 
 
+def test_decontamination_of_rows_without_id(spark, folder):
+    leak = dict(ROWS)[900]
+    rows = [(None, leak), (None, "clean and without id"), (None, None), (900, leak), (900, "clean and of the same id")]
+    out = STAGE["decontamination"](spark, frame(spark, rows, extra=True), folder)
+    assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == [(0, ""), (0, "clean and without id"), (900, "clean and of the same id")]
+
+
 def test_encoding(spark, folder):
     got = {r.doc_id: r for r in STAGE["encoding"](spark, frame(spark, ROWS), folder).collect()}
     encoder, _ = bpe.coder(bpe.vocabulary())
