@@ -4,11 +4,12 @@ Encoder: all vocabulary entries form an Aho-Corasick automaton over base symbols
 at each place; tokens are taken longest first and kept while each neighbouring pair is compatible, which means that the merges
 would really leave the two beside each other. An incompatible pair makes the encoder try the next shorter prefix, or step back.
 The sequence in which all pairs are compatible is unique and is what the merges give. Words are found by the tokenizer's own
-normal form and pattern, and each worker keeps a bounded cache of words.
+normal form and pattern. What stands between white space is looked up once a batch, in a cache that is bounded in bytes.
 
 Decoder: the tokens' strings lie in one buffer; an offset table gives each token's slice, and one gather builds the text.
 
-Null text is empty: no tokens, empty decoded text. Special tokens that stand in a text are recognised, as by the library.
+Null text is empty: no tokens, empty decoded text. Special tokens that stand in a text are recognised, as by the library. Rows are
+coded one by one: repeated rows and ids give as many rows, an empty table none; there are no ties, and other columns are unread.
 """
 
 import hashlib
@@ -19,13 +20,14 @@ from array import array
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import as_bytes, bounded_batches, table
+from .common import Coded, bounded_batches, table, tidied, value_hashes
 
-#: Entries of each generation of a worker's word cache; there are two.
-WORDS = 250_000
+#: Pieces, and words within them, that a worker's caches hold at most; pairs whose compatibility is held (a power of 2).
+PIECES, WORDS, PAIRS = 300_000, 400_000, 1 << 19
 
 
 def byte_symbols() -> list[str]:
@@ -35,24 +37,6 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(rest)) for b in range(256)]
 
 
-class Cache(dict):
-    """A dictionary filled on demand that keeps two generations, so its size is bounded."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.old = make, {}
-
-    def __missing__(self, key):
-        if len(self) >= WORDS:
-            self.old = dict(self)
-            self.clear()
-        out = self.old.get(key)
-        if out is None:
-            out = self.make(key)
-        self[key] = out
-        return out
-
-
 class Encoder:
     """Exact BPE for a vocabulary file of the tokenizers library whose words end in a suffix symbol."""
 
@@ -95,9 +79,10 @@ class Encoder:
         self.shorter = [-1] * size
         for s, i in names.items():
             self.shorter[i] = next((names[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in names), -1)
-        self.fits: dict[int, bool] = {}
-        self.words = Cache(self._word)
-        self.chunks = Cache(self._chunk)
+        kind = np.uint32 if size > 1 << 16 else np.uint16
+        self.pieces, self.words = Coded(kind, PIECES), Coded(kind, WORDS)
+        # the pair-compatibility table, filled as pairs come: of the pairs that share a place it holds the last one
+        self.pair, self.fit = array("q", [-1]) * PAIRS, bytearray(PAIRS)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the merges leave token a before token b as they are: no merge across their border comes in time.
@@ -122,7 +107,7 @@ class Encoder:
 
     def encode_word(self, word: str) -> list[int]:
         """Tokens of one word, without spaces; linear in its length but for the steps back."""
-        width, shorter, fits = self.width, self.shorter, self.fits
+        width, shorter, pair, fits = self.width, self.shorter, self.pair, self.fit
         if word.isascii():
             s = word[:-1] + self.last[ord(word[-1])]
         else:
@@ -143,10 +128,12 @@ class Encoder:
                 if open_[end]:
                     if previous < 0:
                         fit = True
-                    elif (fit := fits.get(previous << 32 | token)) is None:
-                        if len(fits) > 2 * WORDS:
-                            fits.clear()
-                        fit = fits[previous << 32 | token] = self.compatible(previous, token)
+                    else:
+                        key = previous << 32 | token
+                        place = (key * 0x9E3779B97F4A7C15 >> 40) & (PAIRS - 1)
+                        if pair[place] != key:
+                            pair[place], fits[place] = key, self.compatible(previous, token)
+                        fit = fits[place]
                     if fit:
                         out.append(token)
                         if end == n:
@@ -160,19 +147,26 @@ class Encoder:
                     at -= width[token]
                     break
 
-    def _word(self, word: str) -> bytes:
-        return array("I", self.encode_word(word)).tobytes()
-
-    def _chunk(self, chunk: str) -> bytes:
+    def _words(self, chunk: str) -> list[str]:
         """Normal form and split of what stands between white space."""
         if chunk.isascii():
             chunk = chunk.lower()
         else:
             chunk = "".join([c.lower() for c in unicodedata.normalize("NFC", chunk)])
-        if chunk.isalpha():
-            return self.words[chunk]
-        found = self.pattern.findall(chunk)
-        return self.words[found[0]] if len(found) == 1 else b"".join(map(self.words.__getitem__, found))
+        return [chunk] if chunk.isalpha() else self.pattern.findall(chunk)
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece; a piece has no ASCII white space in it."""
+        words = [self._words(p) if p.isascii() else [w for c in SPACE.split(p) if c for w in self._words(c)] for p in pieces]
+        distinct = list({w for x in words for w in x})
+        one, two = value_hashes(pa.array(distinct, pa.string()))
+        at, known, kind = self.words.find(one, two).tolist(), {}, self.words.kind
+        start, n, raw = self.words.at, self.words.n, self.words.ids
+        new = [i for i, x in enumerate(at) if x < 0]
+        for w, i in zip(distinct, at, strict=True):
+            known[w] = raw[start[i] : start[i] + n[i]].tobytes() if i >= 0 else np.array(self.encode_word(w), kind).tobytes()
+        self.words.add(one[new], two[new], [known[distinct[i]] for i in new])
+        return [b"".join([known[w] for w in x]) for x in words]
 
     def encode(self, text: str) -> bytes:
         """Token ids as unsigned 32-bit integers, little-endian as all machines that Spark runs on."""
@@ -181,12 +175,32 @@ class Encoder:
         return self._plain(text)
 
     def _plain(self, text: str) -> bytes:
-        chunks = text.split() if not SEPARATORS.search(text) else SPACE.split(text)
-        return b"".join(map(self.chunks.__getitem__, filter(None, chunks)))
-
-
-#: Where str.split() and the pattern's white space differ, and the white space itself.
-SEPARATORS = regex.compile("[\x1c-\x1f]")
+        words = [w for c in SPACE.split(text) if c for w in self._words(c)]
+        return np.array([t for w in words for t in self.encode_word(w)], "<u4").tobytes()
+
+    def encode_all(self, texts) -> list[bytes]:
+        """The same of each text of an Arrow string column; null as empty."""
+        texts = texts.fill_null("")
+        if not len(texts):
+            return []
+        special = np.zeros(len(texts), np.bool_)
+        if self.find_special:
+            special |= pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        flat = cut.flatten().dictionary_encode()
+        code, starts = flat.indices.to_numpy(), cut.offsets.to_numpy()
+        one, two = value_hashes(flat.dictionary)
+        new = np.flatnonzero(self.pieces.find(one, two) < 0)
+        self.pieces.add(one[new], two[new], self._learn(flat.dictionary.take(pa.array(new)).to_numpy(zero_copy_only=False).tolist()))
+        places = self.pieces.find(one, two)
+        lost = places < 0  # two pieces with one hash
+        size = np.where(lost, 0, self.pieces.n[places])[code]
+        ids = self.pieces.gather(places[code]).astype("<u4", copy=False).tobytes() if not lost.any() else b""
+        ends = 4 * np.append(0, np.cumsum(size, dtype=np.int64))[starts - starts[0]]
+        return [self.encode(texts[i].as_py()) if x or lost.any() else ids[a:b] for i, (x, a, b) in enumerate(zip(special.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True))]
+
+
+#: The white space of the pattern.
 SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
@@ -218,7 +232,7 @@ _made: dict[str, tuple[Encoder, Decoder]] = {}
 
 
 def coder(path: str) -> tuple[Encoder, Decoder]:
-    """One encoder and decoder a worker."""
+    """One encoder and decoder a worker; its caches outlive a task."""
     if path not in _made:
         e = Encoder(path)
         _made[path] = e, Decoder(e.texts)
@@ -234,10 +248,11 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids (binary, little-endian unsigned 32-bit), decoded (string) of every document."""
 
+    @tidied
     def run(batches):
         encoder, decoder = coder(path)
         for b in batches:
-            ids = [encoder.encode(t.decode()) for t in as_bytes(b.column("text"))]
+            ids = encoder.encode_all(b.column("text"))
             texts = [decoder.decode(np.frombuffer(x, "<u4")) for x in ids]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary()), pa.array(texts, pa.binary()).cast(pa.string())], ["doc_id", "ids", "decoded"])
 
@@ -247,12 +262,12 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """As encode_documents, but count and hashes instead of the ids and texts."""
 
+    @tidied
     def run(batches):
         encoder, decoder = coder(path)
         for b in batches:
             n, one, two = [], [], []
-            for t in as_bytes(b.column("text")):
-                ids = encoder.encode(t.decode())
+            for ids in encoder.encode_all(b.column("text")):
                 n.append(len(ids) // 4)
                 one.append(hashlib.sha256(ids).hexdigest())
                 two.append(hashlib.sha256(decoder.decode(np.frombuffer(ids, "<u4"))).hexdigest())
@@ -262,5 +277,5 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounded_batches(spark)
+    bounded_batches(spark, 2000)
     return digests(table(spark, sf_dir, "documents"), vocabulary())

@@ -12,15 +12,18 @@ texts of up to SMALL shingles carry their set: two of them are compared by it, w
 that each hash the whole set anew. Similar sets differ in size by the threshold at most, so a pair with a larger set has FEW
 shingles on either side; texts of FEW to SMALL shingles have bands of both kinds.
 
-Texts with equal sets form a class first, with the least doc_id as its representative; only representatives are compared. Links
-are sought in two steps. First every member of a bucket is held against the bucket's least member only. Then, in the buckets
-whose members are not yet in one component, pairs of different components are estimated, block against block, so that no task
-holds a whole bucket; a pair in one component already needs no check, as it can add no connection.
+Texts with equal sets form a class first, a node of the graph of links. Links are sought in rounds. In the first STARS rounds each
+node is held against one other only: of the least members of its buckets (in a component other than its own) the least. Then, in
+the buckets whose members are not yet in one component, pairs of different components are estimated, block against block, so
+that no task holds a whole bucket. A pair in one component already needs no check, as it can add no connection.
 
 A band misses a pair of similarity 0.75 with (1 - 0.75^5); all 48 do with 2e-6.
 
 Null and empty texts have an empty set: no link, a component of their own. Fewer than 5 words: the whole sequence is the one
-shingle. Repeated doc_ids share a component if their sets are equal. Columns of the input other than doc_id and text are unread.
+shingle. A doc_id names one document: rows that repeat it with different texts are linked by it, and share a component. Rows
+without a doc_id are documents that take part in links; their component is the least doc_id in it, null if none has any, and
+only then they count as kept. Ties do not matter: the least doc_id decides. An empty table gives an empty result. Columns of
+the input other than doc_id and text are unread.
 """
 
 import numpy as np
@@ -28,9 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, as_bytes, bounded_batches, mix, table, windows, word_hashes
+from .common import NO_ID, Scratch, Tokens, bounded_batches, mix, table, tidied, windows
 
 WORDS, HASHES, BITS, BANDS, ROWS = 5, 1024, 4, 48, 5
+#: Rounds of one candidate a node; pairs of a hub that meet its set at once.
+STARS, HUB = 2, 256
+#: Steps in which labels may come to rest; each doubles the reach at least.
+STEPS = 200
 #: A pair is linked from PART of WHOLE on; an estimate below LEAST is a miss beyond doubt.
 PART, WHOLE, LEAST = 75, 100, 0.66
 #: Sets up to SMALL are carried; FEW is the least set that is similar to a larger one.
@@ -39,64 +46,63 @@ SMALL, FEW = 85, 64
 BLOCK = 256
 #: For each bin the order in which it looks for another one that is not empty; a row a step.
 _LENDERS = np.ascontiguousarray(np.random.default_rng(20240229).permuted(np.tile(np.arange(HASHES, dtype=np.int16), (HASHES, 1)), axis=1).T)
-#: The same by step: when a bin comes to each other one.
-_STEP = np.argsort(_LENDERS, axis=0).astype(np.int16).T.copy()
-#: Of each small-set minimum the key that its hashes are mixed with; what fills up carried sets.
-_KEYS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+#: Of each small-set minimum the odd number that its hashes are multiplied with; what fills up carried sets.
+_KEYS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 _PAD = np.uint64(2**64 - 1) - np.arange(SMALL, dtype=np.uint64)
-_EDGES = np.arange(HASHES, dtype=np.uint64) << np.uint64(64 - 10)
-
-
-def shingles(text: bytes) -> np.ndarray:
-    """Distinct shingles as ascending 64-bit hashes."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = word_hashes(words)
-    return np.unique(windows(h, min(WORDS, len(h))))
-
-
-def minima(s: np.ndarray) -> np.ndarray:
-    """The minimum of each bin; s ascends and is not empty."""
-    at = np.searchsorted(s, _EDGES)
-    full = np.diff(np.append(at, len(s))) > 0
-    out = s[np.minimum(at, len(s) - 1)]
-    empty = np.flatnonzero(~full)
-    if len(empty) > HASHES - 32:  # few lenders: look up when each bin comes to them
-        lenders = np.flatnonzero(full)
-        out[empty] = out[lenders[_STEP[empty[:, None], lenders[None, :]].argmin(axis=1)]]
-        return out
-    step = 0
+
+
+def shingles(words: np.ndarray) -> np.ndarray:
+    """Distinct shingles as ascending 64-bit hashes, from the hashes of a text's words."""
+    return np.unique(windows(words, min(WORDS, len(words)))) if len(words) else words
+
+
+def minima(sets: list[np.ndarray]) -> np.ndarray:
+    """The minimum of each bin, a row a set; sets ascend and are not empty."""
+    flat = np.concatenate(sets)
+    at = np.repeat(np.arange(len(sets), dtype=np.int32) * HASHES, [len(s) for s in sets]) + (flat >> np.uint64(64 - 10)).astype(np.int32)
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    out, full = np.zeros(len(sets) * HASHES, np.uint64), np.zeros(len(sets) * HASHES, np.bool_)
+    out[at[first]], full[at[first]] = flat[first], True
+    empty = np.flatnonzero(~full).astype(np.int32)
+    bin_, step = empty % HASHES, 0
     while len(empty):
-        lender = _LENDERS[step, empty]
+        lender = empty - bin_ + _LENDERS[step][bin_]
         found = full[lender]
         out[empty[found]] = out[lender[found]]
-        empty, step = empty[~found], step + 1
-    return out
+        empty, bin_, step = empty[~found], bin_[~found], step + 1
+    return out.reshape(-1, HASHES)
 
 
 def small_minima(s: np.ndarray) -> np.ndarray:
-    """For each key the shingle whose hash with it is least; s is a small set."""
-    return s[mix(s[None, :] ^ _KEYS[:, None]).argmin(axis=1)]
+    """For each key the shingle whose product with it is least; s is a small set of hashes."""
+    return s[(s[None, :] * _KEYS[:, None]).argmin(axis=1)]
 
 
 def bands(m: np.ndarray, first: int = 0) -> np.ndarray:
+    """A hash of the minima of each band (last axis), not 0."""
     key = np.arange(first + 1, first + BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for r in range(ROWS):
-        key = mix(key + m[r : BANDS * ROWS : ROWS])
-    return key.view(np.int64)
+        key = mix(key + m[..., r : BANDS * ROWS : ROWS])
+    return np.maximum(key, np.uint64(1)).view(np.int64)
 
 
-def band_keys(s: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Bands of the minima m of s, then those of a small set; 0 for those that s has not."""
-    none = np.zeros(BANDS, np.int64)
-    return np.concatenate([bands(m) if len(s) >= FEW else none, bands(small_minima(s), BANDS) if len(s) <= SMALL else none])
+def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Bands of each set, those of its minima and then those of a small set (0: it has none of the kind), and packed signatures (0 below FEW)."""
+    keys, packed = np.zeros((len(sets), 2 * BANDS), np.int64), np.zeros((len(sets), HASHES // 2), np.uint8)
+    many = [i for i, s in enumerate(sets) if len(s) >= FEW]
+    small = [i for i, s in enumerate(sets) if 0 < len(s) <= SMALL]
+    if many:
+        m = minima([sets[i] for i in many])
+        keys[many, :BANDS], packed[many] = bands(m), pack(m)
+    if small:
+        keys[small, BANDS:] = bands(np.stack([small_minima(sets[i]) for i in small]), BANDS)
+    return keys, packed
 
 
-def pack(m: np.ndarray) -> bytes:
+def pack(m: np.ndarray) -> np.ndarray:
     """The low 4 bits of the minima, two a byte."""
     low = (m & np.uint64(15)).astype(np.uint8)
-    return (low[::2] << 4 | low[1::2]).tobytes()
+    return low[..., ::2] << 4 | low[..., 1::2]
 
 
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -135,23 +141,32 @@ def alike(n: tuple, signatures: tuple, sets: tuple) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b (a 128-bit name of the set), bands, signature, small (the set if it is small); the last three null for an empty set."""
+    """doc_id, text (its hash), n_shingles, set_a, set_b (a 128-bit name of the set), bands, signature, small (the set if it is small)."""
 
+    @tidied
     def run(batches):
         for b in batches:
-            n, one, two, keys, sigs, small = [], [], [], [], [], []
-            for t in as_bytes(b.column("text")):
-                s = shingles(t)
-                n.append(len(s))
-                one.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
-                two.append(int(np.bitwise_xor.reduce(mix(s + np.uint64(0x5851F42D4C957F2D))).astype(np.int64)) if len(s) else 0)
-                m = minima(s) if len(s) else None
-                keys.append(band_keys(s, m) if m is not None else None)
-                sigs.append(pack(m) if m is not None else None)
-                small.append((s.tobytes() if len(s) <= SMALL else b"") if m is not None else None)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary()), pa.array(small, pa.binary())], ["doc_id", "n_shingles", "set_a", "set_b", "bands", "signature", "small"])
+            sets = [shingles(words) for words in Tokens(b.column("text"), lower=True).rows()]
+            n = np.array([len(s) for s in sets], np.int64)
+            one = [int(mix(s).sum(dtype=np.uint64).astype(np.int64)) for s in sets]
+            two = [int(np.bitwise_xor.reduce(mix(s + np.uint64(0x5851F42D4C957F2D))).astype(np.int64)) if len(s) else 0 for s in sets]
+            keys, packed = sketches(sets)
+            none = n == 0
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * 2 * BANDS), pa.array(keys.ravel()), mask=pa.array(none))
+            sigs = pa.FixedSizeBinaryArray.from_buffers(pa.binary(HASHES // 2), len(n), [None, pa.py_buffer(packed)]).cast(pa.binary())
+            small = [s.tobytes() if len(s) <= SMALL else b"" for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("hash"), pa.array(n), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists, sigs, pa.array(small, pa.binary())], ["doc_id", "text", "n_shingles", "set_a", "set_b", "bands", "signature", "small"])
+
+    named = docs.select("doc_id", "text", _text_hash().alias("hash"))
+    return named.mapInArrow(run, "doc_id long, text long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary, small binary")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary, small binary")
+def _text_hash():
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def _id():
+    return F.coalesce(F.col("doc_id"), F.lit(NO_ID))
 
 
 def _u64(column) -> np.ndarray:
@@ -159,45 +174,84 @@ def _u64(column) -> np.ndarray:
     return np.frombuffer(raw, np.uint64).reshape(-1, HASHES * BITS // 64)
 
 
+def _met(pairs: DataFrame, payload: DataFrame, fields: list[str], run, schema: str) -> DataFrame:
+    """Pairs (a, b) with the payload (node, fields) of both: run gets batches in which a row with b null has that of a, for the rows behind it.
+
+    A hub's payload goes along once for HUB pairs, and these are what a task must hold together.
+    """
+    spark = pairs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hubs = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB).cast("int").alias("blocks"))
+    each = hubs.select(F.col("a").alias("node"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    left = each.join(payload, "node").select(F.col("node").alias("a"), "block", F.lit(None).cast("long").alias("b"), *fields)
+    right = pairs.join(hubs, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), "b")
+    right = right.join(payload.withColumnRenamed("node", "b"), "b").select("a", "block", "b", *fields)
+
+    @tidied
+    def carried(batches):
+        hub = None
+        for x in batches:
+            if hub is not None:
+                x = pa.Table.from_batches([hub, x]).combine_chunks().to_batches()[0]
+            if not x.num_rows:
+                continue
+            is_hub = x.column("b").is_null().to_numpy(zero_copy_only=False)
+            of = np.maximum.accumulate(np.where(is_hub, np.arange(x.num_rows), 0))
+            at = np.flatnonzero(~is_hub)
+            hub = x.slice(int(of[-1]), 1)
+            if len(at):
+                yield from run(x, of[at], at)
+
+    dealt = left.union(right).repartition(n, "a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
+    return dealt.mapInArrow(carried, schema)
+
+
+def _ends(x: pa.RecordBatch, u: np.ndarray, v: np.ndarray, **more) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": x.column("a").take(pa.array(u)), "b": x.column("b").take(pa.array(v)), **more})
+
+
 def likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The pairs (a, b) that may be similar."""
+    """The pairs (a, b) that may be similar; sure: that are, by their small sets."""
 
-    def run(batches):
-        for p in batches:
-            if p.num_rows:
-                n, sigs, sets = (tuple(f(p.column(f"{c}_{x}")) for x in "ab") for c, f in (("n", lambda c: c.to_numpy()), ("sig", _u64), ("set", _sets)))
-                ok = alike(n, sigs, sets)
-                yield pa.RecordBatch.from_arrays([p.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
+    def run(x, u, v):
+        n, sig, sets = x.column("n_shingles").to_numpy(), _u64(x.column("signature")), _sets(x.column("small"))
+        ok = alike((n[u], n[v]), (sig[u], sig[v]), (sets[u], sets[v]))
+        u, v = u[ok], v[ok]
+        yield _ends(x, u, v, sure=pa.array(np.maximum(n[u], n[v]) <= SMALL))
 
-    one, two = (signatures.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("signature").alias(f"sig_{x}"), F.col("small").alias(f"set_{x}")) for x in "ab")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return _met(pairs, signatures, ["n_shingles", "signature", "small"], run, "a long, b long, sure boolean")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs whose full sets are similar enough. Sets are made for the documents that stand in a pair only.
+def confirm(pairs: DataFrame, docs: DataFrame, who: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The links among pairs (a, b, sure): the sure ones and those whose full sets are similar enough. who: node, doc_id, text, set_a, set_b of each node.
 
-    Their texts are found by a shuffled join at every size, as their ids grow with the corpus.
+    Sets are made anew for the nodes that stand in a pair only. Their texts are found by a shuffled join at every size, as their
+    number grows with the corpus.
     """
 
+    @tidied
     def sets(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([shingles(t).tobytes() for t in as_bytes(b.column("text"))], pa.binary())], ["doc_id", "set"])
-
-    def run(batches):
-        for p in batches:
-            ok = []
-            for x, y in zip(p.column("set_a").to_pylist(), p.column("set_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) * WHOLE >= PART * max(len(x), len(y)) else 0
-                ok.append(WHOLE * both >= PART * (len(x) + len(y) - both) and both > 0)
-            yield pa.RecordBatch.from_arrays([p.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a", "b")], ["a", "b"])
-
-    pairs = scratch.keep(pairs, f"{name}-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    found = scratch.keep(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, set binary"), f"{name}-sets")
-    one, two = (found.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
-    links = scratch.keep(pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long"), f"{name}-links")
-    scratch.drop(f"{name}-sets", f"{name}-pairs")
+            full = [shingles(w).tobytes() for w in Tokens(b.column("text"), lower=True).rows()]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(full, pa.binary())], ["node", "set"])
+
+    def run(x, u, v):
+        full = [np.frombuffer(s, np.uint64) for s in x.column("set").to_pylist()]
+        ok = []
+        for i, j in zip(u.tolist(), v.tolist(), strict=True):
+            one, two = full[i], full[j]
+            both = len(np.intersect1d(one, two, assume_unique=True)) if min(len(one), len(two)) * WHOLE >= PART * max(len(one), len(two)) else 0
+            ok.append(WHOLE * both >= PART * (len(one) + len(two) - both) and both > 0)
+        yield _ends(x, u[ok], v[ok])
+
+    open_ = pairs.where("not sure").select("a", "b")
+    nodes = open_.select(F.col("a").alias("node")).union(open_.select("b")).distinct().join(who, "node").select("node", "__hf_id", "text")
+    texts = docs.select(_id().alias("__hf_id"), _text_hash().alias("hash"), F.col("text").alias("full"))
+    found = texts.join(nodes.hint("merge").withColumnRenamed("text", "hash"), ["__hf_id", "hash"]).dropDuplicates(["node"])
+    found = scratch.keep(found.select("node", F.col("full").alias("text")).mapInArrow(sets, "node long, set binary"), f"{name}-sets")
+    links = pairs.where("sure").select("a", "b").union(_met(open_, found, ["set"], run, "a long, b long"))
+    links = scratch.keep(links, f"{name}-links")
+    scratch.drop(f"{name}-sets")
     return links
 
 
@@ -205,7 +259,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """node, component (least node reachable) of all nodes in links (a, b): labels spread, then jump to their label's label."""
     edges = scratch.keep(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{name}-edges")
     labels = scratch.keep(edges.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("component")), f"{name}-0")
-    for step in range(1, 200):
+    for step in range(1, STEPS + 1):
         near = edges.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         spread = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("now"))
         jump = labels.select(F.col("node").alias("now"), F.col("component").alias("further"))
@@ -214,24 +268,24 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         scratch.drop(f"{name}-{step - 1}")
         labels = after.select("node", "component")
         if not changed:
-            break
-    scratch.drop(f"{name}-edges")
-    return labels
+            scratch.drop(f"{name}-edges")
+            return labels
+    raise RuntimeError(f"labels of components still move after {STEPS} steps")
 
 
 def _crossing(members: DataFrame) -> DataFrame:
-    """members: key, band, block, other, side, doc_id, component, n_shingles, signature, small, bands. Likely pairs between components in each pair of blocks.
+    """members: key, band, block, other, side, node, component, n_shingles, signature, small, bands. Likely pairs between components in each pair of blocks.
 
     A pair that meets in several bands is told by the first of them.
 
     A block meets itself (other = block) or another one of the same bucket; side says which of the two a row is. Meetings come
     sorted, so a task holds some of them at a time, whatever their number.
     """
-    fields = ["key", "block", "other", "side", "doc_id", "component", "band", "n_shingles"]
+    fields = ["key", "block", "other", "side", "node", "component", "band", "n_shingles"]
     earlier = np.arange(2 * BANDS)
 
     def pairs(cols: dict, sig: np.ndarray, sets: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        comp, side, ids, band, n = cols["component"], cols["side"], cols["doc_id"], cols["band"], cols["n_shingles"]
+        comp, side, ids, band, n = cols["component"], cols["side"], cols["node"], cols["band"], cols["n_shingles"]
 
         def told(u, v):
             ok = comp[u] != comp[v]
@@ -252,6 +306,7 @@ def _crossing(members: DataFrame) -> DataFrame:
         low, high = np.minimum(u, v), np.maximum(u, v)
         return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
+    @tidied
     def run(batches):
         cols, sig = {f: np.zeros(0, np.int64) for f in fields}, np.zeros((0, HASHES * BITS // 64), np.uint64)
         sets, keys, held, rows = np.zeros((0, SMALL), np.uint64), np.zeros((0, 2 * BANDS), np.int64), [], 0
@@ -286,51 +341,98 @@ def _crossing(members: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
+NAME = ["n_shingles", "set_a", "set_b"]
+
+
+def classes_of(docs: DataFrame, scratch: Scratch, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """Sketches of all rows of docs (doc_id, text); the classes of equal sets that are not empty: NAME, rep (least doc_id), component (a number).
+
+    by_id: rows that share a doc_id are linked.
+    """
     sketches = scratch.keep(sketch(docs), "sketches")
-    name = ["n_shingles", "set_a", "set_b"]
-    classes = scratch.keep(sketches.where("n_shingles > 0").groupBy(*name).agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sketches.where("n_shingles > 0").join(classes.select("rep").withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rows = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).where("key != 0")
-    buckets = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
-    members = scratch.keep(rows.join(buckets, "key"), "members")
-    signatures = reps.select("doc_id", "n_shingles", "signature", "small", "bands")
-    stars = members.where("doc_id != least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = confirm(likely(stars, signatures), docs, scratch, "stars")
-    first = components(links, scratch, "first")
+    rows = sketches.where("n_shingles > 0")
+    # a row of each class stands for it; nodes are numbered as they are written
+    chosen = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text")).alias("x")
+    who = rows.groupBy(*NAME).agg(chosen).withColumn("node", F.monotonically_increasing_id())
+    who = scratch.keep(who.select("node", *NAME, F.col("x.doc_id").alias("rep"), F.coalesce("x.doc_id", F.lit(NO_ID)).alias("__hf_id"), F.col("x.text").alias("text")), "classes")
+    first = rows.withColumn("__hf_id", _id()).join(who.select("node", *NAME, "__hf_id", "text"), [*NAME, "__hf_id", "text"]).dropDuplicates(["node"])
+    signatures = scratch.keep(first.select("node", "n_shingles", "bands", "signature", "small"), "signatures")
+    bands = signatures.select("node", F.posexplode("bands").alias("band", "key")).where("key != 0")
+    buckets = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
+    members = scratch.keep(bands.join(buckets, "key"), "members")
+
+    links = None
+    if by_id:
+        of_id = rows.where("doc_id is not null").select("doc_id", *NAME).distinct().join(who.select("node", *NAME), NAME).select("doc_id", "node")
+        many = of_id.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a != z").select("doc_id", "a")
+        links = scratch.keep(of_id.join(many, "doc_id").where("node != a").select("a", F.col("node").alias("b")), "ids")
+    own = F.coalesce("component", "node").alias("component")
+    labels = components(links, scratch, "ids") if by_id and links.limit(1).count() else None
+    for r in range(STARS):
+        # each member beside the component of its own and of its bucket's least member
+        if labels is None:
+            star = members.where("node != least")
+        else:
+            placed = members.join(labels, "node", "left").select("key", "node", "least", own)
+            # a bucket's least component stands for it
+            low = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("component", "node")).alias("x")).where("low != high")
+            star = placed.drop("least").join(low.select("key", "low", F.col("x.node").alias("least")), "key").where("component != low")
+        stars = star.groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a")).select("a", "b")
+        more = confirm(scratch.keep(likely(stars, signatures), f"likely{r}"), docs, who, scratch, f"star{r}")
+        links = more if links is None else links.union(more)
+        labels = components(links, scratch, f"round{r}") if more.limit(1).count() else labels
 
     # buckets that hold more than one component yet
-    placed = members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    placed = scratch.keep(placed.select("key", "band", "doc_id", "component", "n"), "placed")
+    # without any link there are no labels, and links is an empty table
+    of = labels if labels is not None else links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    placed = scratch.keep(members.join(of, "node", "left").select("key", "band", "node", own, "n"), "placed")
+    scratch.drop("members")
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
     open_ = placed.join(mixed, "key", "left_semi").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    open_ = open_.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    open_ = open_.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # a row goes to its block's meeting with each block of the bucket, and once to that with itself
     meets = open_.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meets = meets.select("key", "band", F.least("own", "with").alias("block"), F.greatest("own", "with").alias("other"), F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"), "doc_id", "component")
-    crossing = _crossing(meets.join(signatures, "doc_id")).distinct()
-    tested = stars.join(links, ["a", "b"], "left_anti")
-    more = confirm(crossing.join(tested, ["a", "b"], "left_anti"), docs, scratch, "crossing")
-    last = components(links.union(more), scratch, "last")
+    meets = meets.select("key", "band", F.least("own", "with").alias("block"), F.greatest("own", "with").alias("other"), F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"), "node", "component")
+    crossing = scratch.keep(_crossing(meets.join(signatures, "node")).distinct(), "crossing")
+    sizes = signatures.select(F.col("node").alias("b"), F.col("n_shingles").alias("size"))
+    # estimates were good enough; of small sets they were exact
+    both = crossing.join(sizes, "b").join(sizes.withColumnsRenamed({"b": "a", "size": "other"}), "a")
+    more = confirm(both.select("a", "b", (F.greatest("size", "other") <= SMALL).alias("sure")), docs, who, scratch, "crossing")
+    labels = components(links.union(more), scratch, "last") if more.limit(1).count() else labels
+    classes = who.join(of if labels is None else labels, "node", "left").select(*NAME, "rep", own)
+    scratch.drop("signatures", "placed", "crossing", *(f"likely{r}" for r in range(STARS)))
+    return sketches, classes
+
 
-    by_set = classes.join(last.withColumnRenamed("node", "rep"), "rep", "left").select(*name, F.coalesce("component", "rep").alias("component_id"))
-    out = sketches.select("doc_id", *name).join(by_set, name, "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
+    sketches, classes = classes_of(docs, scratch, by_id=True)
+    least = classes.groupBy("component").agg(F.min("rep").alias("component_id"))
+    by_set = classes.join(least, "component").select(*NAME, "component_id")
+    out = sketches.where("n_shingles > 0").select("doc_id", *NAME).join(by_set, NAME).select("doc_id", "n_shingles", "component_id")
+    return out.union(sketches.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def keep_first(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of docs of which one of each component stays, whole; of rows that repeat a doc_id one stays, without a doc_id all."""
-    kept = near_duplicates(docs, scratch).where("doc_id = component_id").select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    once = docs.join(kept, "doc_id", "left_semi").withColumn("__hf_n", F.row_number().over(order)).where("__hf_n = 1").drop("__hf_n")
-    return once.select(*docs.columns).union(docs.where("doc_id is null"))
+    """One row of docs for each component, that of the least doc_id (a row without one only if no other is there), and all rows with an empty set.
+
+    Rows are told apart by doc_id and text: one of those that are equal in both stays. Rows that share a doc_id alone are no group.
+    """
+    sketches, classes = classes_of(docs, scratch, by_id=False)
+    rows = sketches.where("n_shingles > 0").join(classes.select(*NAME, "component"), NAME)
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text")).alias("x"))
+    first = first.select(F.coalesce("x.doc_id", F.lit(NO_ID)).alias("__hf_id"), F.col("x.text").alias("__hf_text"))
+    marked = docs.withColumn("__hf_id", _id()).withColumn("__hf_text", _text_hash())
+    once = marked.join(first, ["__hf_id", "__hf_text"], "left_semi").dropDuplicates(["__hf_id", "__hf_text"]).select(*docs.columns)
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    return once.union(docs.where(wordless))
 
 
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     out = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op2"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 ORACLE = """

@@ -24,16 +24,15 @@ the spelling model's untrained one.
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, as_bytes, bounded_batches, crc_mod, table, word_hashes
+from .common import NO_ID, Scratch, Tokens, as_bytes, bounded_batches, crc_mod, table, tidied
 
-#: The end token and the context of a text's first word; no word has these bytes.
-END, START = b"\r", b"\n"
+#: The end token's bytes, which no word has; its hash, and that of the context of a text's first word.
+END, END_HASH, START_HASH = b"\r", np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 #: Classes of bytes (0: a word's border, A-1: all but the most frequent), sweeps, and how many of these are not averaged.
 A, SWEEPS, BURN = 32, 4, 2
 #: Strength of every restaurant; bytes of text that a task turns into postings at once.
@@ -41,6 +40,7 @@ THETA, CHUNK = 1.0, 2_500_000
 
 POSTINGS = "p int, batch long, docs binary, train binary, hashes binary, spelling binary, pairs binary, contexts binary, context binary, entries binary, place binary, times binary"
 STATE = "p int, hashes binary, spelling binary, entries binary, pairs binary, contexts binary, context binary, counts binary, tokens long, kinds long, ones long, twos long, customers long, ones0 long, twos0 long"
+SUMS = "batch long, p int, docs binary, places binary, tokens binary, known binary, base binary, score binary"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: What a partition tells: ASK (to q: contexts, customers, tables), SEAT (customers and tables of words, tables of pairs), CELL (cells, customers, sums).
 MESSAGE = "kind int, p int, q int, a binary, b binary, c binary"
@@ -69,12 +69,32 @@ def _i(raw: bytes, kind: str = "<u4") -> np.ndarray:
 
 
 def _coded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values, ascending, and the place of each value among them."""
-    code, values = pd.factorize(x)
-    order = np.argsort(values)
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return values[order], rank[code]
+    """The distinct hashes, ascending, and the place of each one among them: sorts high bits together with places, which is fast."""
+    bits = np.uint64(max(1, len(x).bit_length()))
+    packed = x >> bits << bits | np.arange(len(x), dtype=np.uint64)
+    packed.sort()
+    at = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    values, top = x[at], packed >> bits
+    new = values[1:] != values[:-1]
+    if (new & (top[1:] == top[:-1])).any():  # high bits shared by different hashes
+        return np.unique(x, return_inverse=True)
+    code = np.empty(len(x), np.int64)
+    code[at] = np.append(0, np.cumsum(new))
+    return values[np.append(True, new)], code
+
+
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place and length of each run of equal values."""
+    first = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
+    return first, np.diff(np.append(first, len(x)))
+
+
+def _by(q: np.ndarray):
+    """Each value of q and its places."""
+    order = np.argsort(q, kind="stable")
+    first, n = _runs(q[order])
+    for a, k in zip(first.tolist(), n.tolist(), strict=True):
+        yield int(q[order[a]]), order[a : a + k]
 
 
 def _spread(low: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -88,60 +108,73 @@ def postings(docs: DataFrame, parts: int, places: bool) -> DataFrame:
     Pairs are sorted by word and context. entries: the pair's training count, or with places its number of documents.
     """
 
-    def rows(seq, ids, train, texts):
-        words, owner = [START], []
-        for t in texts:
-            w = t.lower().split()
-            w.append(END)
-            words += w
-            owner.append(len(w))
-        h = word_hashes(words)
-        starts = np.cumsum(owner) - owner
-        owner = np.repeat(np.arange(len(texts), dtype=np.int64), owner)
-        unique, code = _coded(h)
-        first = np.empty(len(unique), np.int64)
-        first[code] = np.arange(len(code))
-        words = [words[i] for i in first.tolist()]
-        before, code = code[:-1].copy(), code[1:]
-        before[starts] = np.searchsorted(unique, h[0])
-        del h, first
-        pair, code = _coded(code * len(unique) + before)
+    def rows(seq, ids, train, tokens):
+        first = tokens.first - tokens.first[0]
+        docs_ = len(first) - 1
+        owner = np.repeat(np.arange(docs_, dtype=np.int64), np.diff(first) + 1)
+        ends = first[1:] + np.arange(docs_)
+        h = np.empty(len(owner), np.uint64)
+        word = np.ones(len(owner), np.bool_)
+        word[ends] = False
+        h[word], h[ends] = tokens.hashes, END_HASH
+        unique, code = _coded(np.append(h, START_HASH))
+        start, code = code[-1], code[:-1]
+        if not places:  # a place of each word
+            at = np.full(len(unique), -1)
+            at[code[word]] = np.arange(len(tokens.hashes))
+            words = tokens.words(np.maximum(at, 0)) if len(tokens.hashes) else [b""] * len(unique)
+            words[int(np.searchsorted(unique, END_HASH))] = END
+        before = np.append(start, code[:-1])
+        before[ends[:-1] + 1] = start
+        del h, word
+        # each token as (word, context, document or whether it trains) in one number
+        last = docs_ if places else 2
+        key = (code * len(unique) + before) * last + (owner if places else train[owner])
+        key.sort()
+        first, times = _runs(key)
+        entry = key[first]
+        del key, code, before, owner
+        pair, place = entry // last, entry % last
+        first, each = _runs(pair)
+        if not places:
+            each = np.add.reduceat(times * place, first)
+        pair = pair[first]
         word, before = pair // len(unique), pair % len(unique)
-        if places:
-            entry, times = np.unique(code * len(texts) + owner, return_counts=True)
-            each, place = np.bincount(entry // len(texts), minlength=len(pair)), entry % len(texts)
-        else:
-            each = np.bincount(code, np.array(train, np.float64)[owner], len(pair)).astype(np.int64)
         part = (unique >> np.uint64(32)) % np.uint64(parts)
         used = np.bincount(word, minlength=len(unique))
         batch = TaskContext.get().partitionId() << 32 | seq
-        ids = np.array(ids, "<i8").tobytes() if places else b""
-        out = []
-        for p in np.unique(part[used > 0]).tolist():
-            mine = np.flatnonzero((part == p) & (used > 0))
+        ids = ids.astype("<i8").tobytes() if places else b""
+        starts, entries = np.cumsum(used) - used, np.cumsum(each) - each
+        out, there = [], np.flatnonzero(used)
+        for p, mine in _by(part[there].astype(np.int64)):
+            mine = there[mine]
             n = used[mine]
-            at = _spread(np.searchsorted(word, mine, "left"), n)
+            at = _spread(starts[mine], n)
             contexts, context = np.unique(before[at], return_inverse=True)
             spelling, where, times_ = b"\n".join([words[i] for i in mine.tolist()]) if not places else b"", b"", b""
             if places:
-                rest = _spread((np.cumsum(each) - each)[at], each[at])
+                rest = _spread(entries[at], each[at])
                 where, times_ = _packed(place[rest]), _packed(times[rest])
             out.append((p, batch, ids, b"", unique[mine].tobytes(), spelling, n.astype("<u4").tobytes(), unique[contexts].tobytes(), _packed(context), _packed(each[at]), where, times_))
         return _batch(out, POSTINGS)
 
+    @tidied
     def run(batches):
-        seq, ids, train, texts, size = 0, [], [], [], 0
+        seq, held, size = 0, [], 0
+
+        def cut():
+            all_ = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            return rows(seq, all_.column("doc_id").fill_null(NO_ID).to_numpy(), all_.column("train").to_numpy(zero_copy_only=False), Tokens(all_.column("text"), lower=True))
+
         for b in batches:
-            for i, f, t in zip(b.column("doc_id").to_pylist(), b.column("train").to_pylist(), as_bytes(b.column("text")), strict=True):
-                ids.append(-(1 << 63) if i is None else i)
-                train.append(f)
-                texts.append(t)
-                size += len(t) + 100
+            if b.num_rows:
+                held.append(b)
+                size += b.nbytes
                 if size >= CHUNK:
-                    yield rows(seq, ids, train, texts)
-                    seq, ids, train, texts, size = seq + 1, [], [], [], 0
-        if ids:
-            yield rows(seq, ids, train, texts)
+                    yield cut()
+                    seq, held, size = seq + 1, [], 0
+        if held:
+            yield cut()
 
     return docs.select("doc_id", "text", "train").mapInArrow(run, POSTINGS)
 
@@ -189,6 +222,7 @@ class Words:
 def gathered(rows: DataFrame, parts: int) -> DataFrame:
     """The words and pairs of each word partition."""
 
+    @tidied
     def run(batches):
         words: dict[int, Words] = {}
         for b in batches:
@@ -209,19 +243,18 @@ class Pairs:
         self.contexts, self.count = _i(row["contexts"], np.uint64), _sized(row["counts"], len(self.word)).astype(np.int64)
 
     def owner(self, parts: int) -> np.ndarray:
-        return (self.contexts >> np.uint64(32)) % np.uint64(parts)
+        return ((self.contexts >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
 
     def ask(self, p: int, t: np.ndarray, parts: int) -> list:
         """What each owner must know: this partition's customers and tables (t: of each pair) of its contexts."""
         q, n = self.owner(parts), len(self.contexts)
         c, t = (np.bincount(self.context, x, n).astype(np.int64) for x in (self.count, t))
-        return [(ASK, p, k, self.contexts[q == k].tobytes(), _packed(c[q == k]), _packed(t[q == k])) for k in np.unique(q).tolist()]
+        return [(ASK, p, k, self.contexts[at].tobytes(), _packed(c[at]), _packed(t[at])) for k, at in _by(q)]
 
     def sums(self, box: dict, s: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
         """Customers and tables of each context in all partitions, after sweep s."""
         q, c, t = self.owner(parts), np.zeros(len(self.contexts)), np.zeros(len(self.contexts))
-        for k in np.unique(q).tolist():
-            at = np.flatnonzero(q == k)
+        for k, at in _by(q):
             c[at], t[at] = (_sized(box[s, k][x], len(at)) for x in ("b", "c"))
         return c, t
 
@@ -238,6 +271,7 @@ def answers(messages: DataFrame, parts: int) -> DataFrame:
             mine = code[b - len(y) : b]
             yield _batch([(r["p"], r["q"], _packed(c[mine]), _packed(t[mine]))], "p int, q int, b binary, c binary")
 
+    @tidied
     def run(batches):
         rows = []
         for b in batches:
@@ -390,7 +424,7 @@ def _spelled(spell: bytes, classes: np.ndarray, other: float, logp: np.ndarray)
 def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """docs: doc_id, text, train. doc_id, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 3)
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bounded_batches(spark, 4)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")  # what a sweep shuffled goes as it ends; the result, which may be read again, stays out of this
@@ -406,7 +440,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 out += np.bincount(np.frombuffer(s, np.uint8), minlength=256)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(256, dtype=np.int64)), pa.array(out)], ["byte", "n"])
 
-    got = state.select("spelling").mapInArrow(weigh, "byte long, n long").groupBy("byte").sum("n").toPandas()
+    got = state.select("spelling").mapInArrow(tidied(weigh), "byte long, n long").groupBy("byte").sum("n").toPandas()
     weights = np.zeros(256, np.int64)
     weights[got["byte"]] = got["sum(n)"]
     weights[10] = 0
@@ -426,7 +460,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
     logs = [np.log(np.maximum(spelling.levels[3], 1e-300)).astype(np.float32).reshape(-1)]
     #: Of each sweep: customers, tables and discount of the restaurant without context.
     seated = [(customers, v, _discount(ones0, twos0))]
-    told = [scratch.keep(state.mapInArrow(begin, MESSAGE), "told0")]
+    told = [scratch.keep(state.mapInArrow(tidied(begin), MESSAGE), "told0")]
 
     def words(row, box, s, spelled, seated):
         """Probabilities without context of the words that training has, after sweep s."""
@@ -461,7 +495,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 for x, y, z in zip(*(b.column(c).to_pylist() for c in "abc"), strict=True):
                     yield pa.RecordBatch.from_arrays([pa.array(np.r_[_i(x).astype(np.int64), -1, -2, -3, -4]), pa.array(np.r_[_i(y, "<i8"), _i(z, "<i8")])], ["cell", "n"])
 
-        told.append(scratch.keep(meeting(state, [(s - 1, told[-1])], parts).mapInArrow(sample, MESSAGE), f"told{s}"))
+        told.append(scratch.keep(meeting(state, [(s - 1, told[-1])], parts).mapInArrow(tidied(sample), MESSAGE), f"told{s}"))
         if s - 1 <= BURN:
             scratch.drop(f"told{s - 1}")
         got = told[-1].where(F.col("kind") == CELL).mapInArrow(cell_counts, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
@@ -484,7 +518,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
                     total[s] += float(np.exp(_spelled(spell, classes, other, logs[s]))[_i(c, "<i8") > 0].sum())
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()))], ["s", "mass"])
 
-    seen = dict(state.select("spelling", "entries").mapInArrow(spelled_mass, "s int, mass double").groupBy("s").sum("mass").collect())
+    seen = dict(state.select("spelling", "entries").mapInArrow(tidied(spelled_mass), "s int, mass double").groupBy("s").sum("mass").collect())
     unseen = {s: max(1e-12, 1 - seen.get(s, 0.0)) for s in kept}
 
     def rate(batches):
@@ -502,7 +536,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
             base = np.log10((pairs.c + 0.1) / (n + 0.1 * (v + 1)))
             yield _batch([(row["p"], -1, b"", (pairs.c > 0).astype(np.uint8).tobytes(), row["hashes"], b"", row["pairs"], row["contexts"], row["context"], score.astype("<f4").tobytes(), base.tobytes(), b"")], POSTINGS)
 
-    rated = scratch.keep(meeting(state, [(s, told[s]) for s in kept], parts).mapInArrow(rate, POSTINGS), "rated")
+    rated = scratch.keep(meeting(state, [(s, told[s]) for s in kept], parts).mapInArrow(tidied(rate), POSTINGS), "rated")
     scratch.drop("state", *(f"told{s}" for s in range(BURN + 1, SWEEPS + 1)))
     spark.conf.set(CLEANUP, before)
 
@@ -524,13 +558,34 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 place, times, docs_ = _sized(row["place"], len(word)), _sized(row["times"], len(word)).astype(np.float64), _i(row["docs"], "<i8")
                 sums = [np.bincount(place, times * x, len(docs_)) for x in (1.0, known[word], base[word], score[pair])]
                 has = np.flatnonzero(sums[0])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(has), row["batch"])), pa.array(has.astype(np.int32)), pa.array(docs_[has]), pa.array(sums[0][has].astype(np.int64)), pa.array(sums[1][has].astype(np.int64)), pa.array(sums[2][has]), pa.array(sums[3][has])], ["batch", "nth", "doc_id", "n_tokens", "n_known", "base_score", "score"])
+                yield _batch([(row["batch"], p, row["docs"], _packed(has), *(_packed(x[has].astype(np.int64)) for x in sums[:2]), *(x[has].astype("<f8").tobytes() for x in sums[2:]))], SUMS)
+
+    def total(batches):
+        """Sums of the parts of each chunk of documents."""
+        held = None
+
+        def out():
+            docs_, sums = held[1:]
+            return pa.RecordBatch.from_arrays([pa.array(docs_, mask=docs_ == NO_ID), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), pa.array(sums[3])], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+        for b in batches:
+            for row in b.to_pylist():
+                if held is None or held[0] != row["batch"]:
+                    if held is not None:
+                        yield out()
+                    docs_ = _i(row["docs"], "<i8")
+                    held = row["batch"], docs_, [np.zeros(len(docs_)) for _ in range(4)]
+                at = _sized(row["places"], len(row["base"]) // 8)
+                for s, x in zip(held[2], (_sized(row["tokens"], len(at)), _sized(row["known"], len(at)), _i(row["base"], "<f8"), _i(row["score"], "<f8")), strict=True):
+                    s[at] += x
+        if held is not None:
+            yield out()
 
     both = postings(docs, parts, True).union(rated)
     parted = both.repartition(parts, "p").sortWithinPartitions("p", "batch")
-    summed = parted.mapInArrow(add_up, "batch long, nth int, doc_id long, n_tokens long, n_known long, base_score double, score double")
-    out = summed.groupBy("batch", "nth").agg(F.first("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
-    return out.select(F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")).alias("doc_id"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    summed = parted.mapInArrow(tidied(add_up), SUMS).repartition(parts, "batch").sortWithinPartitions("batch", "p")
+    out = summed.mapInArrow(tidied(total), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return out.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op10_pitmanyor(spark: SparkSession, sf_dir: str) -> DataFrame:

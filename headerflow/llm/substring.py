@@ -24,23 +24,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import Scratch, as_bytes, bounded_batches, mix, table, windows, word_hashes
+from .common import NO_ID, Scratch, Tokens, as_bytes, bounded_batches, mix, table, tidied, windows
 
 SIZE, SEED = 35, 17
 #: Different runs from which a group's key is the whole window; words of a tree about.
 HOT, WORDS = 4000, 400_000
 
 
-def runs(words: list, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs(words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Seed, first window and number of windows of each run: neighbours whose first least seed stands at the same place.
 
-    So equal windows, even those of one periodic text, are never in one run.
+    words: hashes of a text's words. So equal windows, even those of one periodic text, are never in one run.
     """
     if len(words) < size:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
     seed = min(SEED, size)
-    g, want, have = windows(word_hashes(words), seed), size - seed + 1, 1
+    g, want, have = windows(words, seed), size - seed + 1, 1
     at = np.arange(len(g))
 
     def first_least(left, right):
@@ -70,20 +70,20 @@ def repeats(words: np.ndarray, starts: np.ndarray, size: int, times: np.ndarray
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """__hf_id and __hf_text name a row by its content; null ids share a name of their own."""
-    return docs.withColumn("__hf_id", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("__hf_text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return docs.withColumn("__hf_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("__hf_text", F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
 def _scan(docs: DataFrame, size: int) -> DataFrame:
     """__hf_id, __hf_text, doc_id, n_words, sha256 (of the words joined by a space), runs of every row."""
     kind = pa.list_(pa.struct([("seed", pa.int64()), ("start", pa.int32()), ("n", pa.int32())]))
 
+    @tidied
     def run(batches):
         for b in batches:
             n, sha, found = [], [], []
-            for t in as_bytes(b.column("text")):
-                words = t.split()
+            for t, words in zip(as_bytes(b.column("text")), Tokens(b.column("text")).rows(), strict=True):
                 n.append(len(words))
-                sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
+                sha.append(hashlib.sha256(b" ".join(t.split())).hexdigest())
                 found.append(runs(words, size))
             ends = np.cumsum([0, *(len(x[0]) for x in found)])
             flat = [np.concatenate([x[i] for x in found]) if found else np.zeros(0, np.int64) for i in range(3)]
@@ -98,7 +98,7 @@ def _cold(rows: DataFrame, size: int) -> DataFrame:
     """rows: seed, one, two, times, words. For groups that fit in memory: one, two, marked (spans of windows, from the run's start)."""
 
     def tree(part: list) -> pa.RecordBatch:
-        codes = [word_hashes(r[4].split(b" ")) for r in part]
+        codes = [r[4] for r in part]
         n = np.array([len(c) for c in codes])
         windows_ = n - size + 1
         first = np.cumsum(n) - n
@@ -108,15 +108,16 @@ def _cold(rows: DataFrame, size: int) -> DataFrame:
         hit = repeats(np.concatenate(codes), first[owner] + place, size, times)
         return _spans(owner[hit], place[hit], [r[1] for r in part], [r[2] for r in part])
 
+    @tidied
     def run(batches):
         held, words = [], 0
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("seed", "one", "two", "times", "words")), strict=True):
+            for row in zip(*(b.column(c).to_pylist() for c in ("seed", "one", "two", "times")), Tokens(b.column("words")).rows(), strict=True):
                 if words >= WORDS and row[0] != held[-1][0]:
                     yield tree(held)
                     held, words = [], 0
                 held.append(row)
-                words += len(row[4]) // 5
+                words += len(row[4])
         if held:
             yield tree(held)
 
@@ -139,11 +140,11 @@ def _spans(owner: np.ndarray, place: np.ndarray, one: list, two: list) -> pa.Rec
 def _hot(rows: DataFrame, size: int) -> DataFrame:
     """The same for the other groups, by counts of whole windows."""
 
+    @tidied
     def run(batches):
         for b in batches:
             out = [[] for _ in range(6)]
-            for one, two, times, text in zip(*(b.column(c).to_pylist() for c in ("one", "two", "times", "words")), strict=True):
-                h = word_hashes(text.split(b" "))
+            for one, two, times, h in zip(*(b.column(c).to_pylist() for c in ("one", "two", "times")), Tokens(b.column("words")).rows(), strict=True):
                 x, y = windows(h, size).view(np.int64), windows(mix(h), size).view(np.int64)
                 for c, v in zip(out, (np.full(len(x), one), np.full(len(x), two), np.full(len(x), times), np.arange(len(x)), x, y), strict=True):
                     c.append(v)
@@ -165,6 +166,7 @@ def spans(docs: DataFrame, scratch: Scratch, size: int = SIZE) -> tuple[DataFram
     by_row = chosen.groupBy("__hf_id", "__hf_text").agg(F.collect_set("r").alias("runs"))
     texts = scratch.keep(_keyed(docs).select("__hf_id", "__hf_text", "text").join(by_row.hint("merge"), ["__hf_id", "__hf_text"]), "texts")
 
+    @tidied
     def cut(batches):
         for b in batches:
             runs_ = b.column("runs")
@@ -215,6 +217,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, size: int = SIZE) -> DataF
     names, schema = docs.columns, docs.schema
     _, _, found = spans(docs.select("doc_id", "text"), scratch, size)
 
+    @tidied
     def run(batches):
         for b in batches:
             out = []
@@ -231,6 +234,7 @@ def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     scan, texts, found = spans(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op4"))
 
+    @tidied
     def run(batches):
         for b in batches:
             n, sha = [], []

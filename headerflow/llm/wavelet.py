@@ -2,33 +2,35 @@
 
 Documents in ascending doc_id order are dealt by range; each task encodes its documents, appends the end id, and cuts the ids
 into shards. A shard is one compressed file: for each bit of the ids, from the highest, a plane of bits in the order that the
-planes above it leave, with a directory of ranks. Access, counting and the places of a token's occurrences need a shard alone.
+planes above it leave, cut into blocks that are compressed one by one (Zstandard), with a directory of the ones before each block. Access,
+counting and the places of a token's occurrences need a shard alone, and decompress only the blocks that they touch.
 
-File: magic `HFWM`, version, planes, length (8 bytes), for each plane its zeros (8 bytes), then for each plane its 64-bit words
-and the count of ones before each block of 512 bits (4 bytes). Shards are rows of a Parquet table in the shared folder, since
-executors see no other common file system.
+File: magic `HFWM`, version, planes, length (8 bytes), for each plane its zeros (8 bytes), then for each plane and block of 131072
+bits the ones before it (4 bytes), then the stored bytes of each block (2 bytes; those of a whole block: it is stored as it is),
+then the blocks. Shards are rows of a Parquet table in the shared folder, since executors see no other common file system.
 
-Null text: the end id alone. Empty table: no shards. Repeated rows are documents of their own.
+Null text: the end id alone. Empty table: no shards. Repeated rows are documents of their own; rows that share a doc_id stand in
+the order of their texts' hash, and rows without one stand first. Columns of the input other than doc_id and text are unread.
 """
 
 import os
 import struct
 import zlib
-from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import WORDS
-from .common import Scratch, as_bytes, bounded_batches, table
+from .common import NO_ID, Coded, Scratch, bounded_batches, table, tidied, value_hashes
 
-MAGIC, VERSION, BLOCK = b"HFWM", 1, 512
-#: Stands for a null doc_id in a shard.
-NO_ID = -(1 << 63)
+MAGIC, VERSION, BLOCK = b"HFWM", 2, 131072
 END = 2
+#: Pieces that a worker's cache holds at most, about.
+CACHE = 800_000
 #: Marks that are cut off behind a word; no apostrophe, which begins words of the pattern.
 MARKS = ".,;:!?%*#$&"
 #: Ids of a shard at least, but for a task's last one.
@@ -40,18 +42,24 @@ def build(ids: np.ndarray) -> bytes:
     n = len(ids)
     planes = max(1, int(ids.max()).bit_length()) if n else 1
     cur = ids.astype(np.uint16 if planes <= 16 else np.uint32)
-    zeros, body = [], []
+    zeros, ranks, sizes, body = [], [], [], []
+    press = zstandard.ZstdCompressor(1, write_content_size=False, write_checksum=False).compress
     for b in range(planes - 1, -1, -1):
         bit = (cur & cur.dtype.type(1 << b)).astype(np.bool_)
         packed = np.zeros(-(-n // BLOCK) * BLOCK // 8, np.uint8)
         raw = np.packbits(bit, bitorder="little")
         packed[: len(raw)] = raw
-        ones = np.bitwise_count(packed.view(np.uint64)).reshape(-1, BLOCK // 64).sum(1, dtype=np.uint32)
-        body += [packed.tobytes(), (np.cumsum(ones, dtype=np.uint32) - ones).astype("<u4").tobytes()]
+        blocks = packed.reshape(-1, BLOCK // 8)
+        ones = np.bitwise_count(blocks).sum(1, dtype=np.uint32)
+        ranks.append((np.cumsum(ones, dtype=np.uint32) - ones).astype("<u4").tobytes())
+        for block in blocks:
+            stored = press(block.tobytes())
+            body.append(stored if len(stored) < BLOCK // 8 else block.tobytes())
+            sizes.append(len(body[-1]))
         low = cur[~bit]
         zeros.append(len(low))
         cur = np.concatenate([low, cur[bit]])
-    return MAGIC + struct.pack("<BBQ", VERSION, planes, n) + struct.pack(f"<{planes}Q", *zeros) + b"".join(body)
+    return MAGIC + struct.pack("<BBQ", VERSION, planes, n) + struct.pack(f"<{planes}Q", *zeros) + b"".join(ranks) + np.array(sizes, "<u2").tobytes() + b"".join(body)
 
 
 class WaveletMatrix:
@@ -65,14 +73,32 @@ class WaveletMatrix:
         self.zeros = struct.unpack_from(f"<{self.planes}Q", file, at)
         at += 8 * self.planes
         blocks = -(-self.n // BLOCK)
-        self.bits, self.ranks = [], []
-        for _ in range(self.planes):
-            self.bits.append(np.frombuffer(file, np.uint8, blocks * BLOCK // 8, at))
-            at += blocks * BLOCK // 8
-            self.ranks.append(np.frombuffer(file, "<u4", blocks, at))
-            at += 4 * blocks
-        if at != len(file):
+        self.ranks = np.frombuffer(file, "<u4", self.planes * blocks, at).reshape(self.planes, blocks)
+        at += 4 * self.planes * blocks
+        sizes = np.frombuffer(file, "<u2", self.planes * blocks, at).astype(np.int64)
+        at += 2 * self.planes * blocks
+        ends = at + np.cumsum(sizes)
+        self.file, self.size, self.start = file, sizes.reshape(self.planes, blocks), (ends - sizes).reshape(self.planes, blocks)
+        if at + int(sizes.sum()) != len(file):
             raise ValueError("truncated or overlong file")
+        self._open = zstandard.ZstdDecompressor().decompress
+        self._held: dict[tuple[int, int], np.ndarray] = {}
+
+    def _block(self, plane: int, k: int) -> np.ndarray:
+        """The bytes of a block; a few blocks a plane are held."""
+        if (plane, k) not in self._held:
+            if len(self._held) >= 4 * self.planes:
+                self._held.clear()
+            self._held[plane, k] = np.frombuffer(self._stored(plane, k), np.uint8)
+        return self._held[plane, k]
+
+    def _stored(self, plane: int, k: int) -> bytes:
+        size, start = int(self.size[plane, k]), int(self.start[plane, k])
+        stored = self.file[start : start + size]
+        return stored if size == BLOCK // 8 else self._open(stored, max_output_size=BLOCK // 8)
+
+    def _plane(self, plane: int) -> np.ndarray:
+        return np.frombuffer(b"".join(self._stored(plane, k) for k in range(self.size.shape[1])), np.uint8)
 
     def __len__(self) -> int:
         return self.n
@@ -81,11 +107,10 @@ class WaveletMatrix:
         """Ones before place i."""
         if i >= self.n:
             return self.n - self.zeros[plane]
-        block = i // BLOCK
-        first = block * BLOCK // 8
-        whole = self.bits[plane][first : i // 8]
-        out = int(self.ranks[plane][block]) + int(np.bitwise_count(whole).sum(dtype=np.int64))
-        return out + (int(self.bits[plane][i // 8]) & ((1 << i % 8) - 1)).bit_count() if i % 8 else out
+        k, at = divmod(i, BLOCK)
+        block = self._block(plane, k)
+        out = int(self.ranks[plane, k]) + int(np.bitwise_count(block[: at // 8]).sum(dtype=np.int64))
+        return out + (int(block[at // 8]) & ((1 << at % 8) - 1)).bit_count() if at % 8 else out
 
     def _select(self, plane: int, bit: int, k: int) -> int:
         """Place of the k-th (from 0) such bit."""
@@ -103,7 +128,7 @@ class WaveletMatrix:
         out = 0
         for p in range(self.planes):
             ones = self._rank1(p, i)
-            if self.bits[p][i // 8] >> (i % 8) & 1:
+            if self._block(p, i // BLOCK)[i % BLOCK // 8] >> (i % 8) & 1:
                 out, i = out << 1 | 1, self.zeros[p] + ones
             else:
                 out, i = out << 1, i - ones
@@ -136,11 +161,27 @@ class WaveletMatrix:
             i = self._select(p, one, i - self.zeros[p] if one else i)
         return i
 
+    def counts(self, token: int, ends: np.ndarray) -> np.ndarray:
+        """Occurrences of a token between neighbouring ends, which ascend; the first part begins at 0."""
+        if not 0 <= token < 1 << self.planes:
+            return np.zeros(len(ends), np.int64)
+        at = np.append(0, ends).astype(np.int64)
+        first = 0  # where the token's run of this plane begins
+        for p in range(self.planes):
+            bits = self._plane(p).view(np.uint64)
+            sums = np.append(0, np.cumsum(np.bitwise_count(bits), dtype=np.int64))
+            both = np.append(at, first)
+            low = bits[np.minimum(both // 64, len(bits) - 1)] & ((np.uint64(1) << (both % 64).astype(np.uint64)) - np.uint64(1))
+            ones = sums[both // 64] + np.where(both % 64 > 0, np.bitwise_count(low), 0) if len(bits) else np.zeros(len(both), np.int64)
+            both = self.zeros[p] + ones if token >> (self.planes - 1 - p) & 1 else both - ones
+            at, first = both[:-1], int(both[-1])
+        return np.diff(at)
+
     def decode(self) -> np.ndarray:
         """All ids: from the lowest plane up, each plane undoes its own sorting."""
         cur = np.zeros(self.n, np.uint16 if self.planes <= 16 else np.uint32)
         for p in range(self.planes - 1, -1, -1):
-            bit = np.unpackbits(self.bits[p], count=self.n, bitorder="little").view(np.bool_)
+            bit = np.unpackbits(self._plane(p), count=self.n, bitorder="little").view(np.bool_)
             out = np.empty_like(cur)
             out[~bit] = cur[: self.zeros[p]]
             out[bit] = cur[self.zeros[p] :] | cur.dtype.type(1 << (self.planes - 1 - p))
@@ -152,8 +193,9 @@ class FastEncoder:
     """The tokenizers library behind a bounded cache of words.
 
     A space between two characters that are no white space begins a word of the byte-level pattern, and a single line feed
-    between such characters is a word of its own. So texts are cut there and each distinct piece is encoded by the library
-    once. A text with other white space at a cut, or with a special token, goes to the library whole.
+    between such characters is a word of its own, as are marks behind letters and digits. So texts are cut there, each distinct
+    piece of a batch is looked up once, and pieces that are not in the cache are encoded by the library, many in a call. A text
+    with other white space at a cut, or with a special token, goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -164,85 +206,90 @@ class FastEncoder:
         self.lib.no_truncation()
         self.lib.no_padding()
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.cache: list[dict] = [{}, {}]  # pieces after a space; pieces that begin a line
-        self.old: list[dict] = [{}, {}]
-        self.tails: dict[str, bytes] = {}
+        self.cache, self.tails = Coded(np.uint16, CACHE), {}  # a piece: what follows a space; with its line feed, if it begins a line
         self.feed_id = self.lib.token_to_id("\u010a")
-        self.feed = np.array([self.feed_id], np.uint16).tobytes()
         vocab = self.lib.get_vocab()
         self.leads = np.zeros(max(vocab.values()) + 1, np.bool_)
         self.leads[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
 
-    def _fill(self, kind: int, lists: list[list[str]]) -> None:
-        """Puts all the pieces into the cache; when it is full, it becomes the older generation."""
-        need = set(filterfalse(self.cache[kind].__contains__, chain.from_iterable(lists)))
-        if len(self.cache[kind]) + len(need) > WORDS * (1 if kind else 3):
-            self.old[kind], self.cache[kind] = self.cache[kind], {}
-            need = set(chain.from_iterable(lists))
-        cache, old, new, marked = self.cache[kind], self.old[kind], [], []
-        for p in need:
-            if (known := old.get(p, 0)) != 0:
-                cache[p] = known
-                continue
-            core = p.rstrip(MARKS)
-            if core and core.isalnum():  # marks after a word are a word of the pattern
-                if core != p:
-                    marked.append((p, core))
-                    if core in need or core in cache:
-                        continue
-                    if (known := old.get(core)) is not None:
-                        cache[core] = known
-                        continue
-                    cache[core] = b""  # so that it is asked for once
-                    new.append(core)
-                else:
-                    new.append(p)
-            elif not p or p != p.strip() or any(s in p for s in self.special):
-                cache[p] = None
-            else:
-                new.append(p)
-        for a in range(0, len(new), 5000):
-            part = new[a : a + 5000]
-            # one call for many pieces: in its ids a piece begins where a token has its space, or after the line feed's token
-            ids = np.array(self.lib.encode_batch_fast([("" if kind else " ") + ("\n" if kind else " ").join(part)], add_special_tokens=False)[0].ids, np.uint16)
-            raw = ids.tobytes()
-            if kind:
-                ends = np.append(np.flatnonzero(ids == self.feed_id), len(ids))
-                starts = np.append(0, ends[:-1] + 1)
-            else:
-                starts = np.flatnonzero(self.leads[ids])
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
+
+    def _tail(self, marks: str) -> bytes:
+        if len(self.tails) > 10_000:
+            self.tails = {}
+        if marks not in self.tails:
+            self.tails[marks] = self._whole(marks).tobytes()
+        return self.tails[marks]
+
+    def _learn(self, pieces: list[str], special: bool) -> list[bytes]:
+        """Ids of each piece, 2 bytes each; none for one that cannot stand alone. special: special tokens stand somewhere."""
+        cores, out = [], {}
+        for p in pieces:
+            core = p
+            if p and p[-1] in MARKS:
+                core = p.rstrip(MARKS)
+                if not (core[1:] if core[:1] == "\n" else core).isalnum():
+                    core = p
+            cores.append(core)
+        marked = list({c for p, c in zip(pieces, cores, strict=True) if c is not p})
+        if marked:  # a core may be known
+            at = self.cache.find(*value_hashes(pa.array(marked, pa.string())))
+            start, n, raw = self.cache.at, self.cache.n, self.cache.ids
+            out = {c: raw[start[i] : start[i] + n[i]].tobytes() for c, i in zip(marked, at.tolist(), strict=True) if i >= 0 and n[i]}
+        words, lines = [], []
+        for c in cores:
+            if c not in out:
+                out[c] = b""
+                word = c[1:] if c[:1] == "\n" else c
+                if word and not word[0].isspace() and not word[-1].isspace() and not (special and any(s in word for s in self.special)):
+                    (lines if c[0] == "\n" else words).append(c)
+        # one call for many pieces: in its ids a piece begins where a token has its space, or with the line feed's token
+        for part, sep in ((words, " "), (lines, "")):
+            for a in range(0, len(part), 5000):
+                some = part[a : a + 5000]
+                ids = self._whole(sep + sep.join(some))
+                starts = np.flatnonzero(self.leads[ids] if sep else ids == self.feed_id)
                 ends = np.append(starts[1:], len(ids))
-            for p, x, y in zip(part, (2 * starts).tolist(), (2 * ends).tolist(), strict=True):
-                cache[p] = raw[x:y]
-        for p, core in marked:
-            tail = p[len(core) :]
-            if tail not in self.tails:
-                self.tails[tail] = np.array(self.lib.encode(tail, add_special_tokens=False).ids, np.uint16).tobytes()
-            cache[p] = cache[core] + self.tails[tail]
-        if len(self.tails) > WORDS:
-            self.tails.clear()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as unsigned 16-bit integers."""
-        cut, spaced, first = [], [], []
-        for t in texts:
-            lines = []
-            for line in t.split("\n") if t else ():
-                words = line.split(" ")
-                first.append(words[0])
-                del words[0]
-                lines.append((first[-1], words))
-                spaced.append(words)
-            cut.append(lines)
-        self._fill(0, spaced)
-        self._fill(1, [first])
-        after, begins, out = self.cache[0].__getitem__, self.cache[1].__getitem__, []
-        for t, lines in zip(texts, cut, strict=True):
-            try:
-                out.append(self.feed.join([begins(w) + b"".join(map(after, words)) for w, words in lines]))
-            except TypeError:  # a piece that cannot stand alone
-                out.append(np.array(self.lib.encode_batch_fast([t], add_special_tokens=False)[0].ids, np.uint16).tobytes())
-        return out
+                raw = ids.tobytes()
+                for p, x, y in zip(some, (2 * starts).tolist(), (2 * ends).tolist(), strict=True):
+                    out[p] = raw[x:y]
+        return [out[c] if len(c) == len(p) else out[c] + self._tail(p[len(c) :]) for p, c in zip(pieces, cores, strict=True)]
+
+    def _known(self, pieces, special: bool) -> np.ndarray:
+        """Places of the pieces (an Arrow column) in the cache, which learns those that it has not."""
+        one, two = value_hashes(pieces)
+        new = np.flatnonzero(self.cache.find(one, two) < 0)
+        self.cache.add(one[new], two[new], self._learn(pieces.take(pa.array(new)).to_numpy(zero_copy_only=False).tolist(), special))
+        return self.cache.find(one, two)
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of an Arrow string column, end to end, with END behind each; the number of each one's ids."""
+        texts = texts.fill_null("")
+        if not len(texts):
+            return np.zeros(0, np.uint16), np.zeros(0, np.int64)
+        # each text as a line of its own; the token of its line feed becomes the END of the text before
+        cut = pc.split_pattern(pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), ""), " ")
+        flat = cut.flatten().dictionary_encode()
+        places = self._known(flat.dictionary, any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.special))
+        alone = (places < 0) | (self.cache.n[places] == 0)
+        code = flat.indices.to_numpy()
+        first = np.diff(cut.offsets.to_numpy())
+        first = np.cumsum(first) - first
+        n = np.add.reduceat(np.where(alone, 0, self.cache.n[places])[code], first, dtype=np.int64)
+        ids = self.cache.gather(places[code[~alone[code]]])
+        whole = np.flatnonzero(np.logical_or.reduceat(alone[code], first))
+        if len(whole):
+            parts, at, ends = [], 0, np.cumsum(n)
+            for i in whole.tolist():
+                own = self._whole(texts[i].as_py()) if len(texts[i].as_py()) else np.zeros(0, np.uint16)
+                parts += [ids[at : ends[i] - n[i]], np.zeros(1, np.uint16), own]
+                at = int(ends[i])
+                n[i] = 1 + len(own)
+            ids = np.concatenate([*parts, ids[at:]])
+        starts = np.cumsum(n) - n
+        ids[starts] = END
+        return np.append(ids, np.uint16(END))[1:], n
 
 
 _encoders: dict[str, FastEncoder] = {}
@@ -251,36 +298,40 @@ _encoders: dict[str, FastEncoder] = {}
 def write(docs: DataFrame, path: str, scratch: Scratch, shard: int = SHARD) -> DataFrame:
     """The table of shards: part, seq (their order), doc_ids, sizes (binary, 8 and 4 bytes each), n_ids, file."""
 
+    @tidied
     def run(batches):
         if path not in _encoders:
             _encoders[path] = FastEncoder(path)
-        part, seq, ids, docs_, held = TaskContext.get().partitionId(), 0, [], [], 0
-        end = np.array([END], np.uint16).tobytes()
+        part, seq, ids, docs_, sizes, held = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def cut():
-            sizes = np.array([len(x) // 2 for x in ids], "<u4")
-            file = build(np.frombuffer(b"".join(ids), np.uint16))
-            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "doc_ids": pa.array([np.array(docs_, "<i8").tobytes()], pa.binary()), "sizes": pa.array([sizes.tobytes()], pa.binary()), "n_ids": pa.array([int(sizes.sum())], pa.int64()), "file": pa.array([file], pa.binary())})
+            file = build(np.concatenate(ids))
+            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "doc_ids": pa.array([np.concatenate(docs_).tobytes()], pa.binary()), "sizes": pa.array([np.concatenate(sizes).astype("<u4").tobytes()], pa.binary()), "n_ids": pa.array([held], pa.int64()), "file": pa.array([file], pa.binary())})
 
         for b in batches:
-            docs_here = b.column("doc_id").to_pylist()
-            for d, x in zip(docs_here, _encoders[path].encode([t.decode() for t in as_bytes(b.column("text"))]), strict=True):
-                ids.append(x + end)
-                docs_.append(NO_ID if d is None else d)
-                held += len(x) // 2 + 1
+            own, n = _encoders[path].encode(b.column("text"))
+            docs_here, at = b.column("doc_id").fill_null(NO_ID).to_numpy().astype("<i8"), 0
+            ends = np.cumsum(n)
+            while at < len(n):  # as many documents as fill the shard
+                before = int(ends[at - 1]) if at else 0
+                to = min(len(n), int(np.searchsorted(ends, before + shard - held)) + 1)
+                ids.append(own[before : int(ends[to - 1])])
+                docs_.append(docs_here[at:to])
+                sizes.append(n[at:to])
+                held, at = held + len(ids[-1]), to
                 if held >= shard:
                     yield cut()
-                    seq, ids, docs_, held = seq + 1, [], [], 0
+                    seq, ids, docs_, sizes, held = seq + 1, [], [], [], 0
         if ids:
             yield cut()
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    ranges = docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).repartitionByRange(n, "doc_id", "hash").sortWithinPartitions("doc_id", "hash").drop("hash")
     return scratch.keep(ranges.mapInArrow(run, "part int, seq int, doc_ids binary, sizes binary, n_ids long, file binary"), "shards")
 
 
 def read(shards: DataFrame) -> DataFrame:
-    """doc_id, start (ids of all documents before it), ids (binary, little-endian unsigned 32-bit) from the files."""
+    """doc_id, start (ids of all documents before it), n_tokens, n_ends (how often the end id stands in it, by ranks), ids (binary, little-endian unsigned 32-bit) from the files."""
     return _read(shards, "ids binary", lambda x: x.tobytes(), pa.binary())
 
 
@@ -292,22 +343,24 @@ def _read(shards: DataFrame, field: str, made, kind) -> DataFrame:
     inner = F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_ids")
     starts = shards.select("part", "seq", inner.alias("inner")).join(F.broadcast(bases), "part").select("part", "seq", (F.col("inner") + F.col("base")).alias("start"))
 
+    @tidied
     def run(batches):
         for b in batches:
             for docs, sizes, file, start in zip(*(b.column(c).to_pylist() for c in ("doc_ids", "sizes", "file", "start")), strict=True):
-                ids = WaveletMatrix(file).decode().astype("<u4", copy=False)
+                matrix = WaveletMatrix(file)
+                ids = matrix.decode().astype("<u4", copy=False)
                 n = np.frombuffer(sizes, "<u4").astype(np.int64)
                 ends = np.cumsum(n)
                 out = [made(ids[e - k : e]) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
                 own = np.frombuffer(docs, "<i8")
-                yield pa.RecordBatch.from_arrays([pa.array(own, mask=own == NO_ID), pa.array(start + ends - n), pa.array(n), pa.array(out, kind)], ["doc_id", "start", "n_tokens", field.split()[0]])
+                yield pa.RecordBatch.from_arrays([pa.array(own, mask=own == NO_ID), pa.array(start + ends - n), pa.array(n), pa.array(matrix.counts(END, ends)), pa.array(out, kind)], ["doc_id", "start", "n_tokens", "n_ends", field.split()[0]])
 
-    return shards.join(F.broadcast(starts), ["part", "seq"]).select("doc_ids", "sizes", "file", "start").mapInArrow(run, f"doc_id long, start long, n_tokens long, {field}")
+    return shards.join(F.broadcast(starts), ["part", "seq"]).select("doc_ids", "sizes", "file", "start").mapInArrow(run, f"doc_id long, start long, n_tokens long, n_ends long, {field}")
 
 
 def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    bounded_batches(spark)
+    bounded_batches(spark, 2000)
     shards = write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), Scratch(spark, "op7"))
     return _read(shards, "ids_crc32 long", lambda x: zlib.crc32(x.tobytes()), pa.int64())
