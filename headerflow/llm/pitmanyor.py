@@ -25,6 +25,7 @@ the spelling model's untrained one.
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,9 @@ END, END_HASH, START_HASH = b"\r", np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6
 #: Classes of bytes (0: a word's border, A-1: all but the most frequent), sweeps, and how many of these are not averaged.
 A, SWEEPS, BURN = 32, 4, 2
 #: Strength of every restaurant; bytes of text that a task turns into postings at once.
-THETA, CHUNK = 1.0, 2_500_000
+THETA, CHUNK = 1.0, 6_000_000
+#: Parts of the documents that are scored one after the other, so that only the postings of one are on disk at once.
+ROUNDS = 3
 
 POSTINGS = "p int, batch long, docs binary, train binary, hashes binary, spelling binary, pairs binary, contexts binary, context binary, entries binary, place binary, times binary"
 STATE = "p int, hashes binary, spelling binary, entries binary, pairs binary, contexts binary, context binary, counts binary, tokens long, kinds long, ones long, twos long, customers long, ones0 long, twos0 long"
@@ -144,6 +147,7 @@ def postings(docs: DataFrame, parts: int, places: bool) -> DataFrame:
         used = np.bincount(word, minlength=len(unique))
         batch = TaskContext.get().partitionId() << 32 | seq
         ids = ids.astype("<i8").tobytes() if places else b""
+        press = zstandard.ZstdCompressor(1).compress
         starts, entries = np.cumsum(used) - used, np.cumsum(each) - each
         out, there = [], np.flatnonzero(used)
         for p, mine in _by(part[there].astype(np.int64)):
@@ -151,11 +155,11 @@ def postings(docs: DataFrame, parts: int, places: bool) -> DataFrame:
             n = used[mine]
             at = _spread(starts[mine], n)
             contexts, context = np.unique(before[at], return_inverse=True)
-            spelling, where, times_ = b"\n".join([words[i] for i in mine.tolist()]) if not places else b"", b"", b""
+            spelling, where, times_ = press(b"\n".join([words[i] for i in mine.tolist()])) if not places else b"", b"", b""
             if places:
                 rest = _spread(entries[at], each[at])
                 where, times_ = _packed(place[rest]), _packed(times[rest])
-            out.append((p, batch, ids, b"", unique[mine].tobytes(), spelling, n.astype("<u4").tobytes(), unique[contexts].tobytes(), _packed(context), _packed(each[at]), where, times_))
+            out.append((p, batch, ids, b"", unique[mine].tobytes(), spelling, _packed(n), unique[contexts].tobytes(), _packed(context), _packed(each[at]), where, times_))
         return _batch(out, POSTINGS)
 
     @tidied
@@ -187,9 +191,10 @@ class Words:
         self.pairs, self.more, self.many = tuple(np.zeros(0, k) for k in (np.uint64, np.uint64, np.int64)), [], 0
 
     def add(self, row: dict) -> None:
-        h, n = _i(row["hashes"], np.uint64), _i(row["pairs"])
+        h = _i(row["hashes"], np.uint64)
+        n = _sized(row["pairs"], len(h)).astype(np.int64)
         k = int(n.sum())
-        self.new.append((h, row["spelling"].split(b"\n")))
+        self.new.append((h, zstandard.ZstdDecompressor().decompress(row["spelling"]).split(b"\n")))
         self.more.append((np.repeat(h, n), _i(row["contexts"], np.uint64)[_sized(row["context"], k)], _sized(row["entries"], k).astype(np.int64)))
         self.held, self.many = self.held + len(h), self.many + k
         if self.held > len(self.h) + 200_000 or self.many > len(self.pairs[0]) + 1_000_000:
@@ -425,9 +430,9 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """docs: doc_id, text, train. doc_id, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounded_batches(spark, 4)
+    bounded_batches(spark)
     before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")  # what a sweep shuffled goes as it ends; the result, which may be read again, stays out of this
+    spark.conf.set(CLEANUP, "true")  # what a sweep shuffled goes as it ends; all that is read again is written first
     state = scratch.keep(gathered(postings(docs, parts, False), parts), "state")
     names = ("tokens", "kinds", "ones", "twos", "customers", "ones0", "twos0")
     n, v, ones, twos, customers, ones0, twos0 = (int(x or 0) for x in state.agg(*(F.sum(c) for c in names)).first())
@@ -533,24 +538,25 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 c, tables = (x[pairs.context] for x in pairs.sums(box, s, parts))
                 pred += (pairs.count - d * _sized(box[s, -1]["c"], len(pred)) + (THETA + d * tables) * p0[pairs.word]) / (THETA + c)
             score = np.log10(np.maximum(pred / len(kept), 1e-300))
-            base = np.log10((pairs.c + 0.1) / (n + 0.1 * (v + 1)))
-            yield _batch([(row["p"], -1, b"", (pairs.c > 0).astype(np.uint8).tobytes(), row["hashes"], b"", row["pairs"], row["contexts"], row["context"], score.astype("<f4").tobytes(), base.tobytes(), b"")], POSTINGS)
+            yield _batch([(row["p"], -1, b"", b"", row["hashes"], b"", _packed(_i(row["pairs"])), row["contexts"], _packed(pairs.context), score.astype("<f4").tobytes(), _packed(pairs.c), b"")], POSTINGS)
 
     rated = scratch.keep(meeting(state, [(s, told[s]) for s in kept], parts).mapInArrow(tidied(rate), POSTINGS), "rated")
     scratch.drop("state", *(f"told{s}" for s in range(BURN + 1, SWEEPS + 1)))
-    spark.conf.set(CLEANUP, before)
 
     def add_up(batches):
-        p = known = h = contexts = keys = score = base = None
+        p = known = h = contexts = keys = score = base = None  # of the word partition at hand
         for b in batches:
             for row in b.to_pylist():
                 if row["batch"] < 0:
-                    p, known, h, score, base = row["p"], _i(row["train"], np.uint8), _i(row["hashes"], np.uint64), _i(row["entries"], "<f4"), _i(row["place"], "<f8")
+                    p, h, score = row["p"], _i(row["hashes"], np.uint64), _i(row["entries"], "<f4")
+                    count = _sized(row["place"], len(h)).astype(np.int64)
+                    known, base = (count > 0).astype(np.uint8), np.log10((count + 0.1) / (n + 0.1 * (v + 1)))
                     contexts = _i(row["contexts"], np.uint64)
-                    keys = np.repeat(np.arange(len(h)), _i(row["pairs"])) * len(contexts) + _i(row["context"])
+                    keys = np.repeat(np.arange(len(h)), _sized(row["pairs"], len(h))) * len(contexts) + _sized(row["context"], len(score))
                     continue
                 assert p == row["p"]
-                word = np.repeat(np.searchsorted(h, _i(row["hashes"], np.uint64)), _i(row["pairs"]))
+                own = np.searchsorted(h, _i(row["hashes"], np.uint64))
+                word = np.repeat(own, _sized(row["pairs"], len(own)))
                 context = np.searchsorted(contexts, _i(row["contexts"], np.uint64))[_sized(row["context"], len(word))]
                 pair = np.searchsorted(keys, word * len(contexts) + context)
                 each = _sized(row["entries"], len(word))
@@ -581,10 +587,15 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
         if held is not None:
             yield out()
 
-    both = postings(docs, parts, True).union(rated)
-    parted = both.repartition(parts, "p").sortWithinPartitions("p", "batch")
-    summed = parted.mapInArrow(tidied(add_up), SUMS).repartition(parts, "batch").sortWithinPartitions("batch", "p")
-    out = summed.mapInArrow(tidied(total), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    of, out = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)), None
+    for r in range(ROUNDS):
+        both = postings(docs.where(of == r), parts, True).union(rated)
+        parted = both.repartition(parts, "p").sortWithinPartitions("p", "batch")
+        summed = parted.mapInArrow(tidied(add_up), SUMS).repartition(parts, "batch").sortWithinPartitions("batch", "p")
+        part = scratch.keep(summed.mapInArrow(tidied(total), "doc_id long, n_tokens long, n_known long, base_score double, score double"), f"scores{r}")
+        out = part if out is None else out.union(part)
+    scratch.drop("rated")
+    spark.conf.set(CLEANUP, before)
     return out.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
