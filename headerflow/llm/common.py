@@ -49,9 +49,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base = spark, f"{scratch_root(spark)}/headerflow/{name}-{uuid.uuid4().hex[:12]}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
         path = f"{self.base}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=codec)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import NO_ID, Scratch, Tokens, as_bytes, bounded_batches, crc_mod, table, tidied
@@ -38,8 +38,10 @@ END, END_HASH, START_HASH = b"\r", np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6
 A, SWEEPS, BURN = 32, 4, 2
 #: Strength of every restaurant; bytes of text that a task turns into postings at once.
 THETA, CHUNK = 1.0, 6_000_000
-#: Parts of the documents that are scored one after the other, so that only the postings of one are on disk at once.
+#: Parts of the documents that are scored one after the other, so that only the postings of one are on disk at once; likewise of the word partitions that are rated.
 ROUNDS = 3
+#: Codec of the tables between the sweeps.
+CODEC = "zstd"
 
 POSTINGS = "p int, batch long, docs binary, train binary, hashes binary, spelling binary, pairs binary, contexts binary, context binary, entries binary, place binary, times binary"
 STATE = "p int, hashes binary, spelling binary, entries binary, pairs binary, contexts binary, context binary, counts binary, tokens long, kinds long, ones long, twos long, customers long, ones0 long, twos0 long"
@@ -71,6 +73,15 @@ def _i(raw: bytes, kind: str = "<u4") -> np.ndarray:
     return np.frombuffer(raw, kind)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Values of 4 bytes, all first bytes before all second ones and so on, which compresses better."""
+    return x.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unplaned(raw: bytes, kind: str = "<u4") -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(kind).ravel()
+
+
 def _coded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct hashes, ascending, and the place of each one among them: sorts high bits together with places, which is fast."""
     bits = np.uint64(max(1, len(x).bit_length()))
@@ -221,7 +232,7 @@ class Words:
         contexts, at = np.unique(context, return_inverse=True)
         sums = [c.sum(), (c > 0).sum(), (count == 1).sum(), (count == 2).sum(), c0.sum(), (c0 == 1).sum(), (c0 == 2).sum()]
         n = np.diff(np.append(first, len(word)))
-        return (p, self.h.tobytes(), b"\n".join(self.spell), c.astype("<i8").tobytes(), n.astype("<u4").tobytes(), contexts.tobytes(), at.astype("<u4").tobytes(), _packed(count), *map(int, sums))
+        return (p, self.h.tobytes(), b"\n".join(self.spell), c.astype("<i8").tobytes(), n.astype("<u4").tobytes(), contexts.tobytes(), _planes(at.astype("<u4")), _packed(count), *map(int, sums))
 
 
 def gathered(rows: DataFrame, parts: int) -> DataFrame:
@@ -244,7 +255,7 @@ class Pairs:
 
     def __init__(self, row: dict):
         self.c, n = _i(row["entries"], "<i8"), _i(row["pairs"])
-        self.word, self.context = np.repeat(np.arange(len(n)), n), _i(row["context"])
+        self.word, self.context = np.repeat(np.arange(len(n)), n), _unplaned(row["context"])
         self.contexts, self.count = _i(row["contexts"], np.uint64), _sized(row["counts"], len(self.word)).astype(np.int64)
 
     def owner(self, parts: int) -> np.ndarray:
@@ -292,14 +303,15 @@ def answers(messages: DataFrame, parts: int) -> DataFrame:
     return asked.repartition(parts, "q").sortWithinPartitions("q", "p").mapInArrow(run, "p int, q int, b binary, c binary")
 
 
-def meeting(state: DataFrame, told: list, parts: int) -> DataFrame:
-    """Each partition's state behind what it was told. told: (sweep, messages) of each sweep that counts."""
+def meeting(state: DataFrame, told: list, parts: int, which: Column | None = None) -> DataFrame:
+    """Each partition's state behind what it was told. told: (sweep, messages) of each sweep that counts; which: the partitions that meet."""
+    which = F.lit(True) if which is None else which
     box = None
     for s, messages in told:
-        seats = messages.where(F.col("kind") == SEAT).select("p", F.lit(-1).alias("q"), "a", "b", "c")
-        both = seats.unionByName(answers(messages, parts), allowMissingColumns=True).withColumn("s", F.lit(s))
+        seats = messages.where((F.col("kind") == SEAT) & which).select("p", F.lit(-1).alias("q"), "a", "b", "c")
+        both = seats.unionByName(answers(messages, parts), allowMissingColumns=True).where(which).withColumn("s", F.lit(s))
         box = both if box is None else box.unionByName(both)
-    last = state.drop("tokens", "kinds", "ones", "twos", "customers", "ones0", "twos0").withColumn("s", F.lit(1 << 30))
+    last = state.where(which).drop("tokens", "kinds", "ones", "twos", "customers", "ones0", "twos0").withColumn("s", F.lit(1 << 30))
     return box.unionByName(last, allowMissingColumns=True).repartition(parts, "p").sortWithinPartitions("p", "s", "q")
 
 
@@ -433,7 +445,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
     bounded_batches(spark)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")  # what a sweep shuffled goes as it ends; all that is read again is written first
-    state = scratch.keep(gathered(postings(docs, parts, False), parts), "state")
+    state = scratch.keep(gathered(postings(docs, parts, False), parts), "state", CODEC)
     names = ("tokens", "kinds", "ones", "twos", "customers", "ones0", "twos0")
     n, v, ones, twos, customers, ones0, twos0 = (int(x or 0) for x in state.agg(*(F.sum(c) for c in names)).first())
     d = _discount(ones, twos)
@@ -465,7 +477,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
     logs = [np.log(np.maximum(spelling.levels[3], 1e-300)).astype(np.float32).reshape(-1)]
     #: Of each sweep: customers, tables and discount of the restaurant without context.
     seated = [(customers, v, _discount(ones0, twos0))]
-    told = [scratch.keep(state.mapInArrow(tidied(begin), MESSAGE), "told0")]
+    told = [scratch.keep(state.mapInArrow(tidied(begin), MESSAGE), "told0", CODEC)]
 
     def words(row, box, s, spelled, seated):
         """Probabilities without context of the words that training has, after sweep s."""
@@ -500,7 +512,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 for x, y, z in zip(*(b.column(c).to_pylist() for c in "abc"), strict=True):
                     yield pa.RecordBatch.from_arrays([pa.array(np.r_[_i(x).astype(np.int64), -1, -2, -3, -4]), pa.array(np.r_[_i(y, "<i8"), _i(z, "<i8")])], ["cell", "n"])
 
-        told.append(scratch.keep(meeting(state, [(s - 1, told[-1])], parts).mapInArrow(tidied(sample), MESSAGE), f"told{s}"))
+        told.append(scratch.keep(meeting(state, [(s - 1, told[-1])], parts).mapInArrow(tidied(sample), MESSAGE), f"told{s}", CODEC))
         if s - 1 <= BURN:
             scratch.drop(f"told{s - 1}")
         got = told[-1].where(F.col("kind") == CELL).mapInArrow(cell_counts, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
@@ -538,9 +550,13 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 c, tables = (x[pairs.context] for x in pairs.sums(box, s, parts))
                 pred += (pairs.count - d * _sized(box[s, -1]["c"], len(pred)) + (THETA + d * tables) * p0[pairs.word]) / (THETA + c)
             score = np.log10(np.maximum(pred / len(kept), 1e-300))
-            yield _batch([(row["p"], -1, b"", b"", row["hashes"], b"", _packed(_i(row["pairs"])), row["contexts"], _packed(pairs.context), score.astype("<f4").tobytes(), _packed(pairs.c), b"")], POSTINGS)
+            yield _batch([(row["p"], -1, b"", b"", row["hashes"], b"", _packed(_i(row["pairs"])), row["contexts"], row["context"], _planes(score.astype("<f4")), _packed(pairs.c), b"")], POSTINGS)
 
-    rated = scratch.keep(meeting(state, [(s, told[s]) for s in kept], parts).mapInArrow(tidied(rate), POSTINGS), "rated")
+    rated = None
+    for r in range(ROUNDS):
+        met = meeting(state, [(s, told[s]) for s in kept], parts, F.col("p") % ROUNDS == r)
+        part = scratch.keep(met.mapInArrow(tidied(rate), POSTINGS), f"rated{r}", CODEC)
+        rated = part if rated is None else rated.union(part)
     scratch.drop("state", *(f"told{s}" for s in range(BURN + 1, SWEEPS + 1)))
 
     def add_up(batches):
@@ -548,11 +564,11 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
         for b in batches:
             for row in b.to_pylist():
                 if row["batch"] < 0:
-                    p, h, score = row["p"], _i(row["hashes"], np.uint64), _i(row["entries"], "<f4")
+                    p, h, score = row["p"], _i(row["hashes"], np.uint64), _unplaned(row["entries"], "<f4")
                     count = _sized(row["place"], len(h)).astype(np.int64)
                     known, base = (count > 0).astype(np.uint8), np.log10((count + 0.1) / (n + 0.1 * (v + 1)))
                     contexts = _i(row["contexts"], np.uint64)
-                    keys = np.repeat(np.arange(len(h)), _sized(row["pairs"], len(h))) * len(contexts) + _sized(row["context"], len(score))
+                    keys = np.repeat(np.arange(len(h)), _sized(row["pairs"], len(h))) * len(contexts) + _unplaned(row["context"])
                     continue
                 assert p == row["p"]
                 own = np.searchsorted(h, _i(row["hashes"], np.uint64))
@@ -594,7 +610,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
         summed = parted.mapInArrow(tidied(add_up), SUMS).repartition(parts, "batch").sortWithinPartitions("batch", "p")
         part = scratch.keep(summed.mapInArrow(tidied(total), "doc_id long, n_tokens long, n_known long, base_score double, score double"), f"scores{r}")
         out = part if out is None else out.union(part)
-    scratch.drop("rated")
+    scratch.drop(*(f"rated{r}" for r in range(ROUNDS)))
     spark.conf.set(CLEANUP, before)
     return out.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 

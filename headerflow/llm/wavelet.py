@@ -30,7 +30,7 @@ from .common import NO_ID, Coded, Scratch, bounded_batches, table, tidied, value
 MAGIC, VERSION, BLOCK = b"HFWM", 2, 131072
 END = 2
 #: Pieces that a worker's cache holds at most, about.
-CACHE = 800_000
+CACHE = 1_600_000
 #: Marks that are cut off behind a word; no apostrophe, which begins words of the pattern.
 MARKS = ".,;:!?%*#$&"
 #: Ids of a shard at least, but for a task's last one.
