@@ -29,19 +29,25 @@ def classes() -> np.ndarray:
     """Class of each code point below 0x10000: letters a-z apart, other letters by their lower case's low bits, the rest 0."""
     global _classes
     if _classes is None:
-        t = np.zeros(0x10000, np.uint32)
-        for c in range(0x10000):
-            if (s := chr(c)).isalpha():
-                low = s.lower()[0]
-                t[c] = ord(low) - 96 if "a" <= low <= "z" else 27 + ord(low) % 37
-        _classes = t
+        _classes = np.array([_class(c) for c in range(0x10000)], np.uint32)
     return _classes
 
 
+def _class(point: int) -> int:
+    """0: no letter; 1-26: a-z; the others by their code point."""
+    if not (s := chr(point)).isalpha():
+        return 0
+    low = s.lower()[0]
+    return ord(low) - 96 if "a" <= low <= "z" else 27 + ord(low) % 37
+
+
 def grams(text: str) -> np.ndarray | None:
     """Codes of all 1-, 2- and 3-grams in order of place (repeats included); None without a letter."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     c = classes()[np.minimum(points, 0xFFFF)]
+    high = np.flatnonzero(points > 0xFFFF)  # rare: looked up one by one
+    if len(high):
+        c[high] = [_class(p) for p in points[high].tolist()]
     if not c.any():
         return None
     # runs of non-letters count as one

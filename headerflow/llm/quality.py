@@ -5,7 +5,8 @@ of labelled texts gives inverse document frequencies, a truncated singular value
 labelled vectors, which are broadcast (a few MB, whatever the corpus). Every document's cosine with every labelled vector is
 computed in blocks; the labels of the nearest vote, weighted by similarity.
 
-Empty and null texts have terms too (of an empty text) and get a score. No labelled rows: every score is 1. Ties among equal
+Empty and null texts have terms too (of an empty text) and get a score. No labelled rows: every score is 1. Each row is scored by its
+text alone, so repeated rows get equal scores; an empty table gives an empty result; other columns pass through unread. Ties among equal
 similarities are of no account: all vectors as near as the K-th vote.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import as_bytes, bounded_batches, crc_mod, fraction, table
+from .common import as_bytes, bounded_batches, crc_mod, fraction, table, tidied
 
 #: Labelled texts of each class that the fit sees at most; latent axes; voters; sharpness of the weights.
 FIT, AXES, K, SHARP = 1500, 48, 15, 8
@@ -23,6 +24,13 @@ FIT, AXES, K, SHARP = 1500, 48, 15, 8
 GRAMS, TERMS = 4096, 64
 BLOCK = 128
 ACCEPT = 0.3
+#: The column that judge() adds; a reserved name.
+SCORE = "__hf_score"
+
+
+def accepted(docs: DataFrame, model: "Model") -> DataFrame:
+    """The rows of docs that are accepted, whole."""
+    return judge(docs, model).where(F.col(SCORE) >= ACCEPT).select(*docs.columns)
 
 
 def bag(text: bytes) -> np.ndarray:
@@ -94,14 +102,15 @@ class Model:
 
 
 def judge(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of docs and _score."""
+    """All columns of docs and SCORE."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidied
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shared.value.score(as_bytes(b.column("text"))))], [*b.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shared.value.score(as_bytes(b.column("text"))))], [*b.schema.names, SCORE])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(SCORE, DoubleType())]))
 
 
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
@@ -124,4 +133,4 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs = table(spark, sf_dir, "documents")
     scored = judge(docs.select("doc_id", "text"), quality_model(spark, docs, sf_dir))
-    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), F.col("_score").alias("score"), F.when(F.col("_score") >= ACCEPT, 1).otherwise(0).alias("predicted"))
+    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), F.col(SCORE).alias("score"), F.when(F.col(SCORE) >= ACCEPT, 1).otherwise(0).alias("predicted"))

@@ -5,7 +5,7 @@ import random
 LONG = " ".join(f"w{i}" for i in range(45))
 PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names the operators might use themselves.
-EXTRA = PLAIN + ", bin int, shard int, slot long, spans string, component_id long, train boolean, key string, words string, _id long, score string"
+EXTRA = PLAIN + ", bin int, shard int, slot long, spans string, component_id long, train boolean, key string, words string, _id long, score string, _score double, hash long, node long, rep long, label string"
 
 
 def awkward(seed: int = 3) -> list[tuple]:
@@ -27,7 +27,7 @@ def awkward(seed: int = 3) -> list[tuple]:
 def frame(spark, rows, extra: bool = False):
     full = [(i, t, ("en", "fr")[(i or 0) % 2], "s", None) for i, t in rows]
     if extra:
-        return spark.createDataFrame([(*r, 1, 2, 3, "s", 4, True, "k", "w", 5, "z") for r in full], EXTRA)
+        return spark.createDataFrame([(*r, 1, 2, 3, "s", 4, True, "k", "w", 5, "z", 0.5, 6, 7, 8, "l") for r in full], EXTRA)
     return spark.createDataFrame(full, PLAIN)
 
 

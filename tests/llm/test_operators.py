@@ -78,6 +78,7 @@ def test_language_kernel():
     want = [[len(x & y) / math.sqrt(len(x) * len(y)) for y in sets] for x in sets]
     assert np.allclose(m.kernel([language.grams(a), language.grams(b)]), want, atol=1e-5)
     assert m.predict([None, "", "123 !!", "hund"])[0] == ["und", "und", "und", "de"]
+    assert m.predict(["\U00020000\U00020001"])[0][0] in ("de", "fr") and m.predict(["\U0001f642"])[0] == ["und"]
     assert language.Model([], []).predict(["a"])[0] == ["und"]
 
 
