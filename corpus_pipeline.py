@@ -1,7 +1,8 @@
 """The corpus pipeline: documents through the stages in STAGES, each stage on all that the one before it kept.
 
 Stages but the last return the columns of documents. A text that loses words in the substring stage has its n_chars anew. Rows
-with a null doc_id have no label and no duplicate; they pass the first two stages by their text alone.
+are told apart by doc_id and text, so rows without a doc_id, or with one that repeats, are documents of their own; of rows equal in both one
+stays.
 """
 
 from pyspark.sql import functions as F
@@ -16,12 +17,11 @@ ORACLE_SQL = None
 def quality_stage(spark, docs, sf_dir):
     """Documents that the nearest labelled ones vote for stay."""
     bounded_batches(spark)
-    judged = quality.judge(docs, quality.quality_model(spark, docs, sf_dir))
-    return judged.where(F.col("_score") >= quality.ACCEPT).drop("_score")
+    return quality.accepted(docs, quality.quality_model(spark, docs, sf_dir))
 
 
 def near_duplicate_stage(spark, docs, sf_dir):
-    """The least doc_id of each component of linked documents stays."""
+    """The least doc_id of each component of linked documents stays; rows without words all stay."""
     bounded_batches(spark)
     return neardup.keep_first(docs, Scratch(spark, "pipeline"))
 
