@@ -12,10 +12,12 @@ texts of up to SMALL shingles carry their set: two of them are compared by it, w
 that each hash the whole set anew. Similar sets differ in size by the threshold at most, so a pair with a larger set has FEW
 shingles on either side; texts of FEW to SMALL shingles have bands of both kinds.
 
-Texts with equal sets form a class first, a node of the graph of links. Links are sought in rounds. In the first STARS rounds each
-node is held against one other only: of the least members of its buckets (in a component other than its own) the least. Then, in
-the buckets whose members are not yet in one component, pairs of different components are estimated, block against block, so
-that no task holds a whole bucket. A pair in one component already needs no check, as it can add no connection.
+Texts with equal sets form a class first, a node of the graph of links. Links are sought in steps. First each node is held against
+one other only: of the least members of its buckets the one that it shares most buckets with. Then, in the buckets whose members
+are not yet in one component, pairs of different components are estimated, block against block, so that no task holds a whole
+bucket; members of a bucket's largest component meet only the others. Of the likely pairs that come together each component
+first gives its best one; when these are confirmed and joined, all likely pairs that still lead from one component to another
+are confirmed. A pair in one component already needs no check, as it can add no connection.
 
 A band misses a pair of similarity 0.75 with (1 - 0.75^5); all 48 do with 2e-6.
 
@@ -34,8 +36,8 @@ from pyspark.sql import functions as F
 from .common import NO_ID, Scratch, Tokens, bounded_batches, mix, table, tidied, windows
 
 WORDS, HASHES, BITS, BANDS, ROWS = 5, 1024, 4, 48, 5
-#: Rounds of one candidate a node; pairs of a hub that meet its set at once.
-STARS, HUB = 2, 256
+#: Pairs of a hub that meet its set at once.
+HUB = 256
 #: Steps in which labels may come to rest; each doubles the reach at least.
 STEPS = 200
 #: A pair is linked from PART of WHOLE on; an estimate below LEAST is a miss beyond doubt.
@@ -126,18 +128,25 @@ def _sets(column) -> np.ndarray:
 
 def alike(n: tuple, signatures: tuple, sets: tuple) -> np.ndarray:
     """For each pair (sizes, signatures and carried sets of either side) whether it may be similar: small sets exactly, others by estimate."""
+    return likeness(n, signatures, sets) > 0
+
+
+def likeness(n: tuple, signatures: tuple, sets: tuple) -> np.ndarray:
+    """The similarity or its estimate of pairs that may be similar, 0 of others."""
     low, high = np.minimum(*n), np.maximum(*n)
-    ok = low * WHOLE >= PART * high
+    ok, out = low * WHOLE >= PART * high, np.zeros(len(low))
     small = high <= SMALL
     large = np.flatnonzero(ok & ~small)
-    ok[large] = estimate(signatures[0][large], signatures[1][large]) >= LEAST
+    guess = estimate(signatures[0][large], signatures[1][large])
+    out[large] = np.where(guess >= LEAST, guess, 0)
     small = np.flatnonzero(ok & small)
     for i in range(0, len(small), 10_000):
         at = small[i : i + 10_000]
         both = np.sort(np.concatenate([sets[0][at], sets[1][at]], axis=1), axis=1)
         both = (both[:, 1:] == both[:, :-1]).sum(axis=1) - (SMALL - high[at])  # without what fills up both
-        ok[at] = WHOLE * both >= PART * (low[at] + high[at] - both)
-    return ok
+        union = low[at] + high[at] - both
+        out[at] = np.where(WHOLE * both >= PART * union, both / np.maximum(union, 1), 0)
+    return out
 
 
 def sketch(docs: DataFrame) -> DataFrame:
@@ -252,7 +261,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, who: DataFrame, scratch: Scratch,
     links = pairs.where("sure").select("a", "b").union(_met(open_, found, ["set"], run, "a long, b long"))
     links = scratch.keep(links, f"{name}-links")
     scratch.drop(f"{name}-sets")
-    return links
+    return links.select("a", "b")
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -273,10 +282,10 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     raise RuntimeError(f"labels of components still move after {STEPS} steps")
 
 
-def _crossing(members: DataFrame) -> DataFrame:
+def _crossing(members: DataFrame, best: bool) -> DataFrame:
     """members: key, band, block, other, side, node, component, n_shingles, signature, small, bands. Likely pairs between components in each pair of blocks.
 
-    A pair that meets in several bands is told by the first of them.
+    A pair that meets in several bands is told by the first of them. best: of the pairs at hand each component tells its likeliest.
 
     A block meets itself (other = block) or another one of the same bucket; side says which of the two a row is. Meetings come
     sorted, so a task holds some of them at a time, whatever their number.
@@ -290,10 +299,21 @@ def _crossing(members: DataFrame) -> DataFrame:
         def told(u, v):
             ok = comp[u] != comp[v]
             u, v = u[ok], v[ok]
-            ok = alike((n[u], n[v]), (sig[u], sig[v]), (sets[u], sets[v]))
-            u, v = u[ok], v[ok]
+            like = likeness((n[u], n[v]), (sig[u], sig[v]), (sets[u], sets[v]))
+            ok = like > 0
+            u, v, like = u[ok], v[ok], like[ok]
+            if best:
+                return likeliest(u, v, like)
             ok = ~((keys[u] == keys[v]) & (keys[u] != 0) & (earlier < band[u, None])).any(axis=1)
-            return u[ok], v[ok]
+            return u[ok], v[ok], like[ok]
+
+        def likeliest(u, v, like):
+            """The likeliest pair of each component."""
+            c, at = np.concatenate([comp[u], comp[v]]), np.tile(np.arange(len(u)), 2)
+            order = np.lexsort((-like[at], c))
+            first = order[np.append(True, c[order][1:] != c[order][:-1])] if len(c) else order
+            pick = np.unique(at[first])
+            return u[pick], v[pick], like[pick]
 
         two = ends - starts == 2
         found = [told(starts[two], starts[two] + 1)]  # most meetings are of two rows
@@ -302,7 +322,10 @@ def _crossing(members: DataFrame) -> DataFrame:
             x, y = (np.triu_indices(b - a, 1)) if cut == b else (m.ravel() for m in np.indices((cut - a, b - cut)))
             x, y = a + x, (a if cut == b else cut) + y
             found += [told(x[i : i + 50_000], y[i : i + 50_000]) for i in range(0, len(x), 50_000)]
-        u, v = (ids[np.concatenate([f[i] for f in found])] for i in (0, 1))
+        u, v, like = (np.concatenate([f[i] for f in found]) for i in range(3))
+        if best:
+            u, v, _ = likeliest(u, v, like)
+        u, v = ids[u], ids[v]
         low, high = np.minimum(u, v), np.maximum(u, v)
         return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
@@ -366,44 +389,56 @@ def classes_of(docs: DataFrame, scratch: Scratch, by_id: bool) -> tuple[DataFram
         of_id = rows.where("doc_id is not null").select("doc_id", *NAME).distinct().join(who.select("node", *NAME), NAME).select("doc_id", "node")
         many = of_id.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a != z").select("doc_id", "a")
         links = scratch.keep(of_id.join(many, "doc_id").where("node != a").select("a", F.col("node").alias("b")), "ids")
-    own = F.coalesce("component", "node").alias("component")
-    labels = components(links, scratch, "ids") if by_id and links.limit(1).count() else None
-    for r in range(STARS):
-        # each member beside the component of its own and of its bucket's least member
-        if labels is None:
-            star = members.where("node != least")
-        else:
-            placed = members.join(labels, "node", "left").select("key", "node", "least", own)
-            # a bucket's least component stands for it
-            low = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("component", "node")).alias("x")).where("low != high")
-            star = placed.drop("least").join(low.select("key", "low", F.col("x.node").alias("least")), "key").where("component != low")
-        stars = star.groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a")).select("a", "b")
-        more = confirm(scratch.keep(likely(stars, signatures), f"likely{r}"), docs, who, scratch, f"star{r}")
-        links = more if links is None else links.union(more)
-        labels = components(links, scratch, f"round{r}") if more.limit(1).count() else labels
-
-    # buckets that hold more than one component yet
-    # without any link there are no labels, and links is an empty table
-    of = labels if labels is not None else links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    placed = scratch.keep(members.join(of, "node", "left").select("key", "band", "node", own, "n"), "placed")
-    scratch.drop("members")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
-    open_ = placed.join(mixed, "key", "left_semi").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    open_ = open_.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # a row goes to its block's meeting with each block of the bucket, and once to that with itself
-    meets = open_.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meets = meets.select("key", "band", F.least("own", "with").alias("block"), F.greatest("own", "with").alias("other"), F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"), "node", "component")
-    crossing = scratch.keep(_crossing(meets.join(signatures, "node")).distinct(), "crossing")
+    # each member beside the least one of its buckets with which it shares most of them
+    shared = members.where("node != least").groupBy("node", "least").agg(F.count("*").alias("k"))
+    stars = shared.groupBy(F.col("node").alias("b")).agg(F.max(F.struct("k", (-F.col("least")).alias("least"))).alias("x")).select((-F.col("x.least")).alias("a"), "b")
+    stars = scratch.keep(likely(stars, signatures), "likely")
+    more = confirm(stars, docs, who, scratch, "stars")
+    links = more if links is None else links.union(more)
+    labels = components(links, scratch, "stars")
+    told = stars.select("a", "b")
+
     sizes = signatures.select(F.col("node").alias("b"), F.col("n_shingles").alias("size"))
-    # estimates were good enough; of small sets they were exact
-    both = crossing.join(sizes, "b").join(sizes.withColumnsRenamed({"b": "a", "size": "other"}), "a")
-    more = confirm(both.select("a", "b", (F.greatest("size", "other") <= SMALL).alias("sure")), docs, who, scratch, "crossing")
-    labels = components(links.union(more), scratch, "last") if more.limit(1).count() else labels
-    classes = who.join(of if labels is None else labels, "node", "left").select(*NAME, "rep", own)
-    scratch.drop("signatures", "placed", "crossing", *(f"likely{r}" for r in range(STARS)))
+    for best in (True, False):
+        name = "best" if best else "rest"
+        placed = scratch.keep(members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component")), f"{name}-placed")
+        meets = _meetings(placed).join(signatures, "node")
+        # estimates were good enough; of small sets they were exact
+        found = scratch.keep(_crossing(meets, best).distinct().join(told, ["a", "b"], "left_anti"), f"{name}-found")
+        if not found.limit(1).count():
+            scratch.drop(f"{name}-placed")
+            break
+        both = found.join(sizes, "b").join(sizes.withColumnsRenamed({"b": "a", "size": "other"}), "a")
+        more = confirm(both.select("a", "b", (F.greatest("size", "other") <= SMALL).alias("sure")), docs, who, scratch, name)
+        if more.limit(1).count():
+            links = links.union(more)
+            labels = components(links, scratch, name)
+        told = told.union(found)
+        scratch.drop(f"{name}-placed")
+    own = F.coalesce("component", "node").alias("component")
+    classes = who.join(labels, "node", "left").select(*NAME, "rep", own)
+    scratch.drop("signatures", "members", "likely")
     return sketches, classes
 
 
+def _meetings(placed: DataFrame) -> DataFrame:
+    """placed (key, band, node, component) in the buckets of several components: key, band, block, other, side, node, component, a row for each meeting.
+
+    The largest component of a bucket has blocks behind those of the other members, and meets these only. A row goes to its
+    block's meeting with each block that it is to meet, and once to that with itself.
+    """
+    parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = F.max(F.struct("n", "component")).alias("x")
+    mixed = parts.groupBy("key").agg(F.sum("n").alias("n"), largest, F.count("*").alias("kinds")).where("kinds > 1")
+    blocks = mixed.select("key", F.col("x.component").alias("major"), F.ceil((F.col("n") - F.col("x.n")) / BLOCK).cast("int").alias("few"), F.ceil(F.col("x.n") / BLOCK).cast("int").alias("many"))
+    rows = placed.join(blocks, "key").withColumn("is_major", F.col("component") == F.col("major"))
+    at = F.xxhash64("node")
+    own = F.when(F.col("is_major"), F.col("few") + F.pmod(at, F.col("many"))).otherwise(F.pmod(at, F.col("few"))).cast("int")
+    last = F.when(F.col("is_major"), F.col("few") - 1).otherwise(F.col("few") + F.col("many") - 1)
+    meets = rows.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), last)))
+    return meets.select("key", "band", F.least("own", "with").alias("block"), F.greatest("own", "with").alias("other"), F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"), "node", "component")
+
+
 def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
     sketches, classes = classes_of(docs, scratch, by_id=True)
