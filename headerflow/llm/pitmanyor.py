@@ -441,7 +441,8 @@ def _spelled(spell: bytes, classes: np.ndarray, other: float, logp: np.ndarray)
 def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """docs: doc_id, text, train. doc_id, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # each partition tells each other one, so messages grow with the square of their number; half of them hold twice as much each
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
     bounded_batches(spark)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")  # what a sweep shuffled goes as it ends; all that is read again is written first
