@@ -26,10 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
+def bounded_batches(spark: SparkSession, rows: int = 500, size: int = BATCH) -> None:
     """Keeps the Arrow batches that reach Python workers small, in rows and in bytes: texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -162,7 +162,9 @@ class Coded:
         """The place of each piece, -1 if it is not there. Places hold until the next add()."""
         if not len(self.one):
             return np.full(len(one), -1)
-        at = np.minimum(np.searchsorted(self.one, one), len(self.one) - 1)
+        order = np.argsort(one)  # in this order the search touches neighbouring memory
+        at = np.empty(len(one), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.one, one[order]), len(self.one) - 1)
         hit = (self.one[at] == one) & (self.two[at] == two)
         self.used[at[hit]] = self.time
         return np.where(hit, at, -1)

@@ -361,6 +361,6 @@ def _read(shards: DataFrame, field: str, made, kind) -> DataFrame:
 def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    bounded_batches(spark, 2000)
+    bounded_batches(spark, 4000, 8 << 20)  # larger batches have fewer distinct pieces
     shards = write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), Scratch(spark, "op7"))
     return _read(shards, "ids_crc32 long", lambda x: zlib.crc32(x.tobytes()), pa.int64())
