@@ -44,8 +44,8 @@ STEPS = 200
 PART, WHOLE, LEAST = 75, 100, 0.66
 #: Sets up to SMALL are carried; FEW is the least set that is similar to a larger one.
 SMALL, FEW = 85, 64
-#: Members of a bucket that a task holds at once.
-BLOCK = 256
+#: Members of a bucket that a task holds at once; rows of meetings and pairs that it looks at in one go.
+BLOCK, ROWS_HELD, PAIRS_HELD = 256, 4_000, 4_000
 #: For each bin the order in which it looks for another one that is not empty; a row a step.
 _LENDERS = np.ascontiguousarray(np.random.default_rng(20240229).permuted(np.tile(np.arange(HASHES, dtype=np.int16), (HASHES, 1)), axis=1).T)
 #: Of each small-set minimum the odd number that its hashes are multiplied with; what fills up carried sets.
@@ -321,7 +321,7 @@ def _crossing(members: DataFrame, best: bool) -> DataFrame:
             cut = a + int(np.searchsorted(side[a:b], 1))
             x, y = (np.triu_indices(b - a, 1)) if cut == b else (m.ravel() for m in np.indices((cut - a, b - cut)))
             x, y = a + x, (a if cut == b else cut) + y
-            found += [told(x[i : i + 50_000], y[i : i + 50_000]) for i in range(0, len(x), 50_000)]
+            found += [told(x[i : i + PAIRS_HELD], y[i : i + PAIRS_HELD]) for i in range(0, len(x), PAIRS_HELD)]
         u, v, like = (np.concatenate([f[i] for f in found]) for i in range(3))
         if best:
             u, v, _ = likeliest(u, v, like)
@@ -354,7 +354,7 @@ def _crossing(members: DataFrame, best: bool) -> DataFrame:
             if b.num_rows:
                 held.append(b)
                 rows += b.num_rows
-                if rows >= 20_000:
+                if rows >= ROWS_HELD:
                     yield done(False)
         if held or len(sig):
             yield done(True)
