@@ -16,7 +16,7 @@ The corpus is read twice, to count and to score. Each task turns about CHUNK byt
 words, the words before each, and then their training counts or where they stand (document, count). A word partition has all pairs
 that end in its words, so the customers of a context lie over all partitions, however frequent it is. After each sweep a partition
 tells the owner of each context (by its hash) how many customers and tables it has there, and gets the sums. Neither words, pairs
-nor contexts are ever in one place. The spelling model has A ** 4 cells (4 MB), whatever the corpus; it is fitted on the driver and
+nor contexts are ever in one place, and a task has one word partition only: its number is the task's. The spelling model has A ** 4 cells (4 MB), whatever the corpus; it is fitted on the driver and
 broadcast.
 
 Null text is empty: the end token alone. Rows that repeat a doc_id are scored each. Without training tokens all probability is
@@ -247,7 +247,7 @@ def gathered(rows: DataFrame, parts: int) -> DataFrame:
         for p in list(words):
             yield _batch([words.pop(p).state(p)], STATE)
 
-    return rows.repartition(parts, "p").mapInArrow(run, STATE)
+    return rows.repartitionById(parts, "p").mapInArrow(run, STATE)
 
 
 class Pairs:
@@ -300,7 +300,7 @@ def answers(messages: DataFrame, parts: int) -> DataFrame:
             yield from reply(rows)
 
     asked = messages.where(F.col("kind") == ASK).drop("kind")
-    return asked.repartition(parts, "q").sortWithinPartitions("q", "p").mapInArrow(run, "p int, q int, b binary, c binary")
+    return asked.repartitionById(parts, "q").sortWithinPartitions("q", "p").mapInArrow(run, "p int, q int, b binary, c binary")
 
 
 def meeting(state: DataFrame, told: list, parts: int, which: Column | None = None) -> DataFrame:
@@ -312,7 +312,7 @@ def meeting(state: DataFrame, told: list, parts: int, which: Column | None = Non
         both = seats.unionByName(answers(messages, parts), allowMissingColumns=True).where(which).withColumn("s", F.lit(s))
         box = both if box is None else box.unionByName(both)
     last = state.where(which).drop("tokens", "kinds", "ones", "twos", "customers", "ones0", "twos0").withColumn("s", F.lit(1 << 30))
-    return box.unionByName(last, allowMissingColumns=True).repartition(parts, "p").sortWithinPartitions("p", "s", "q")
+    return box.unionByName(last, allowMissingColumns=True).repartitionById(parts, "p").sortWithinPartitions("p", "s", "q")
 
 
 def _met(batches):
@@ -607,7 +607,7 @@ def score_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
     of, out = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)), None
     for r in range(ROUNDS):
         both = postings(docs.where(of == r), parts, True).union(rated)
-        parted = both.repartition(parts, "p").sortWithinPartitions("p", "batch")
+        parted = both.repartitionById(parts, "p").sortWithinPartitions("p", "batch")
         summed = parted.mapInArrow(tidied(add_up), SUMS).repartition(parts, "batch").sortWithinPartitions("batch", "p")
         part = scratch.keep(summed.mapInArrow(tidied(total), "doc_id long, n_tokens long, n_known long, base_score double, score double"), f"scores{r}")
         out = part if out is None else out.union(part)
