@@ -283,7 +283,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def _crossing(members: DataFrame, best: bool) -> DataFrame:
-    """members: key, band, block, other, side, node, component, n_shingles, signature, small, bands. Likely pairs between components in each pair of blocks.
+    """members: key, band, block, other, side, node, component, n_shingles, signature, small, bands. Likely pairs between components in each pair of blocks; sure: similar by their small sets.
 
     A pair that meets in several bands is told by the first of them. best: of the pairs at hand each component tells its likeliest.
 
@@ -325,9 +325,10 @@ def _crossing(members: DataFrame, best: bool) -> DataFrame:
         u, v, like = (np.concatenate([f[i] for f in found]) for i in range(3))
         if best:
             u, v, _ = likeliest(u, v, like)
+        sure = np.maximum(n[u], n[v]) <= SMALL
         u, v = ids[u], ids[v]
         low, high = np.minimum(u, v), np.maximum(u, v)
-        return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(sure)], ["a", "b", "sure"])
 
     @tidied
     def run(batches):
@@ -361,7 +362,7 @@ def _crossing(members: DataFrame, best: bool) -> DataFrame:
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = members.select(*fields, "signature", "small", "bands").repartition(n, "key", "block", "other").sortWithinPartitions("key", "block", "other", "side")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long, sure boolean")
 
 
 NAME = ["n_shingles", "set_a", "set_b"]
@@ -398,7 +399,6 @@ def classes_of(docs: DataFrame, scratch: Scratch, by_id: bool) -> tuple[DataFram
     labels = components(links, scratch, "stars")
     told = stars.select("a", "b")
 
-    sizes = signatures.select(F.col("node").alias("b"), F.col("n_shingles").alias("size"))
     for best in (True, False):
         name = "best" if best else "rest"
         placed = scratch.keep(members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component")), f"{name}-placed")
@@ -408,12 +408,11 @@ def classes_of(docs: DataFrame, scratch: Scratch, by_id: bool) -> tuple[DataFram
         if not found.limit(1).count():
             scratch.drop(f"{name}-placed")
             break
-        both = found.join(sizes, "b").join(sizes.withColumnsRenamed({"b": "a", "size": "other"}), "a")
-        more = confirm(both.select("a", "b", (F.greatest("size", "other") <= SMALL).alias("sure")), docs, who, scratch, name)
+        more = confirm(found, docs, who, scratch, name)
         if more.limit(1).count():
             links = links.union(more)
             labels = components(links, scratch, name)
-        told = told.union(found)
+        told = told.union(found.select("a", "b"))
         scratch.drop(f"{name}-placed")
     own = F.coalesce("component", "node").alias("component")
     classes = who.join(labels, "node", "left").select(*NAME, "rep", own)
