@@ -50,9 +50,9 @@ def unique_paths(wanted: DataFrame, existing: DataFrame, path: str = "path", ord
         F.explode(F.array(F.struct(whole.alias("_stem"), F.lit(0).alias("_no")), F.struct(stem.alias("_stem"), F.try_to_number(F.regexp_extract(path, "_([0-9]{1,9})(\\.[^./]*)?$", 1), F.lit("999999999")).cast("int").alias("_no")))).alias("x"), end.alias("_end")
     ).select("x._stem", "x._no", "_end").where("_no is not null").groupBy("_stem", "_end").agg(F.array_sort(F.collect_set("_no")).alias("_taken"))
     both = want.join(taken, ["_stem", "_end"], "left")
-    # the n-th free number: numbers up to n + taken hold at least n free ones
-    free = F.filter(F.sequence(F.lit(0), F.col("_n") + F.size(F.coalesce("_taken", F.array().cast("array<int>")))), lambda i: ~F.coalesce(F.array_contains("_taken", i), F.lit(False)))
-    number = F.get(free, F.col("_n") - 1)
+    # below the j-th (from 0) taken number t there are t - j free ones, so it is passed where these do not reach the one looked for
+    passed = F.filter(F.coalesce("_taken", F.array().cast("array<int>")), lambda t, j: t - j < F.col("_n"))
+    number = F.col("_n") - 1 + F.size(passed)
     return both.withColumn("unique_path", F.concat("_stem", F.when(number == 0, "").otherwise(F.concat(F.lit("_"), number.cast("string"))), "_end")).drop("_stem", "_end", "_n", "_taken")
 
 

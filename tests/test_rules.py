@@ -204,6 +204,16 @@ def test_names(spark):
     assert [(r.doc, r.file_name, r.start_page, r.end_page) for r in got] == [("d", "A_1.pdf", 0, 1), ("d", "A_1_02.pdf", 2, 3), ("d", "B.pdf", 4, 4), ("e", "UNKNOWN.pdf", 0, 6)]
 
 
+def test_unique_paths_of_many(spark):
+    """Each of many equal paths gets the next free number, however many there are; taken numbers are passed."""
+    taken = {0, 1, 4, 5, 900, 5000}
+    old = frame(spark, [("a" + f"_{i}" * (i > 0) + ".pdf",) for i in taken], "path string")
+    wanted = frame(spark, [(i, "a.pdf") for i in range(2000)] + [(9000, "b")], "id int, path string")
+    got = {r.id: r.unique_path for r in manifest.unique_paths(wanted, old).collect()}
+    free = [i for i in range(2005) if i not in taken]
+    assert got == {i: f"a_{n}.pdf" for i, n in enumerate(free)} | {9000: "b"}
+
+
 def test_names_of_odd_texts(spark):
     """Only a name's own ends are trimmed, not what stands before a last line feed; letters and digits as in the SQL."""
     cases = [("x" * 98 + " \nrest", "x" * 98 + "_\n"), ("a -\n", "a_\n"), ("a_\r\n", "a_\r\n"), ("x²½Ⅷ", "x²½Ⅷ"), ("e\u0301ⓐ‿x", "ex"), ("a\u00a0b\u000bc\u2028d\te\n-", "abcd\te\n")]
