@@ -170,6 +170,11 @@ class Coded:
         return np.where(hit, at, -1)
 
     def add(self, one: np.ndarray, two: np.ndarray, ids: list[bytes]) -> None:
+        n = np.array([len(x) for x in ids], np.int32) // self.ids.itemsize
+        self.add_flat(one, two, np.frombuffer(b"".join(ids), self.kind), n)
+
+    def add_flat(self, one: np.ndarray, two: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        """ids: those of all pieces, end to end; n: the number of each one's."""
         self.time += 1
         if len(self.one) > self.most:
             keep = np.flatnonzero(self.used >= max(np.partition(self.used, len(self.used) // 2)[len(self.used) // 2], 1))
@@ -177,9 +182,8 @@ class Coded:
             self.one, self.two, self.n, self.used = (x[keep] for x in (self.one, self.two, self.n, self.used))
             self.at = np.cumsum(self.n, dtype=np.int64) - self.n
         order = np.argsort(one, kind="stable")
-        n = np.array([len(x) for x in ids], np.int32) // self.ids.itemsize
         start = len(self.ids) + np.cumsum(n, dtype=np.int64) - n
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), self.kind)])
+        self.ids = np.concatenate([self.ids, ids])
         to = np.searchsorted(self.one, one[order])
         now = np.full(len(one), self.time, np.int32)
         self.one, self.two, self.at, self.n, self.used = (np.insert(x, to, y[order]) for x, y in ((self.one, one), (self.two, two), (self.at, start), (self.n, n), (self.used, now)))

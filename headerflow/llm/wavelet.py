@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NO_ID, Coded, Scratch, bounded_batches, table, tidied, value_hashes
+from .common import NO_ID, Coded, Scratch, _slices, bounded_batches, table, tidied, value_hashes
 
 MAGIC, VERSION, BLOCK = b"HFWM", 2, 131072
 END = 2
@@ -56,9 +56,9 @@ def build(ids: np.ndarray) -> bytes:
             stored = press(block.tobytes())
             body.append(stored if len(stored) < BLOCK // 8 else block.tobytes())
             sizes.append(len(body[-1]))
-        low = cur[~bit]
+        low = cur.take(np.flatnonzero(~bit))  # by places: masks are slow where bits change often
         zeros.append(len(low))
-        cur = np.concatenate([low, cur[bit]])
+        cur = np.concatenate([low, cur.take(np.flatnonzero(bit))])
     return MAGIC + struct.pack("<BBQ", VERSION, planes, n) + struct.pack(f"<{planes}Q", *zeros) + b"".join(ranks) + np.array(sizes, "<u2").tobytes() + b"".join(body)
 
 
@@ -183,8 +183,8 @@ class WaveletMatrix:
         for p in range(self.planes - 1, -1, -1):
             bit = np.unpackbits(self._plane(p), count=self.n, bitorder="little").view(np.bool_)
             out = np.empty_like(cur)
-            out[~bit] = cur[: self.zeros[p]]
-            out[bit] = cur[self.zeros[p] :] | cur.dtype.type(1 << (self.planes - 1 - p))
+            out[np.flatnonzero(~bit)] = cur[: self.zeros[p]]
+            out[np.flatnonzero(bit)] = cur[self.zeros[p] :] | cur.dtype.type(1 << (self.planes - 1 - p))
             cur = out
         return cur.astype(np.uint32)
 
@@ -222,45 +222,65 @@ class FastEncoder:
             self.tails[marks] = self._whole(marks).tobytes()
         return self.tails[marks]
 
-    def _learn(self, pieces: list[str], special: bool) -> list[bytes]:
-        """Ids of each piece, 2 bytes each; none for one that cannot stand alone. special: special tokens stand somewhere."""
-        cores, out = [], {}
-        for p in pieces:
-            core = p
-            if p and p[-1] in MARKS:
-                core = p.rstrip(MARKS)
-                if not (core[1:] if core[:1] == "\n" else core).isalnum():
-                    core = p
-            cores.append(core)
-        marked = list({c for p, c in zip(pieces, cores, strict=True) if c is not p})
-        if marked:  # a core may be known
-            at = self.cache.find(*value_hashes(pa.array(marked, pa.string())))
-            start, n, raw = self.cache.at, self.cache.n, self.cache.ids
-            out = {c: raw[start[i] : start[i] + n[i]].tobytes() for c, i in zip(marked, at.tolist(), strict=True) if i >= 0 and n[i]}
-        words, lines = [], []
-        for c in cores:
-            if c not in out:
-                out[c] = b""
-                word = c[1:] if c[:1] == "\n" else c
-                if word and not word[0].isspace() and not word[-1].isspace() and not (special and any(s in word for s in self.special)):
-                    (lines if c[0] == "\n" else words).append(c)
+    def _learn(self, pieces, special: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces (an Arrow column), end to end, and the number of each one's; 0 for one that cannot stand alone. special: special tokens stand somewhere."""
+        bare = pc.utf8_rtrim(pieces, characters=MARKS)
+        size, bare_size = (pc.binary_length(x).to_numpy().astype(np.int64) for x in (pieces, bare))
+        lines = pc.starts_with(bare, "\n")
+        letters = pc.utf8_is_alnum(pc.if_else(lines, pc.utf8_slice_codeunits(bare, 1), bare))
+        cores = pc.if_else(letters, bare, pieces)
+        marks = np.where(letters.to_numpy(zero_copy_only=False), size - bare_size, 0)
+        distinct = cores.dictionary_encode()
+        cores, code = distinct.dictionary, distinct.indices.to_numpy()
+        # a core may be known
+        at = self.cache.find(*value_hashes(cores))
+        known = np.flatnonzero(at >= 0)
+        known = known[self.cache.n[at[known]] > 0]
+        start, n = np.zeros(len(cores), np.int64), np.zeros(len(cores), np.int64)
+        n[known] = self.cache.n[at[known]]
+        start[known] = np.cumsum(n[known]) - n[known]
+        pool = [self.cache.gather(at[known])]
+        held = len(pool[0])
+        fit = np.zeros(len(cores), np.bool_)
+        fit[code] = letters.to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(~fit).tolist() if not special else range(len(cores)):
+            c = cores[i].as_py()
+            word = c[1:] if c[:1] == "\n" else c
+            fit[i] = bool(word) and not word[0].isspace() and not word[-1].isspace() and not (special and any(s in word for s in self.special))
+        fit[known] = False
+        line = pc.starts_with(cores, "\n").to_numpy(zero_copy_only=False)
         # one call for many pieces: in its ids a piece begins where a token has its space, or with the line feed's token
-        for part, sep in ((words, " "), (lines, "")):
+        for part, sep in ((np.flatnonzero(fit & ~line), " "), (np.flatnonzero(fit & line), "")):
             for a in range(0, len(part), 5000):
                 some = part[a : a + 5000]
-                ids = self._whole(sep + sep.join(some))
+                ids = self._whole(sep + sep.join(cores.take(pa.array(some)).to_pylist()))
                 starts = np.flatnonzero(self.leads[ids] if sep else ids == self.feed_id)
-                ends = np.append(starts[1:], len(ids))
-                raw = ids.tobytes()
-                for p, x, y in zip(some, (2 * starts).tolist(), (2 * ends).tolist(), strict=True):
-                    out[p] = raw[x:y]
-        return [out[c] if len(c) == len(p) else out[c] + self._tail(p[len(c) :]) for p, c in zip(pieces, cores, strict=True)]
+                if len(starts) != len(some):
+                    raise ValueError(f"{len(some)} pieces, but {len(starts)} beginnings")
+                start[some], n[some] = held + starts, np.diff(np.append(starts, len(ids)))
+                pool.append(ids)
+                held += len(ids)
+        # the marks of a piece follow its core
+        ends = np.cumsum(size)
+        raw = np.frombuffer(pa.concat_arrays([pieces]).cast(pa.large_binary()).buffers()[2] or b"", np.uint8)
+        which = np.flatnonzero(marks)
+        tails = _slices(raw, ends[which] - marks[which], marks[which])
+        offsets = np.append(0, np.cumsum(marks[which]))
+        tails = pa.LargeStringArray.from_buffers(len(which), pa.py_buffer(offsets), pa.py_buffer(tails)).dictionary_encode()
+        own = [np.frombuffer(self._tail(t), np.uint16) for t in tails.dictionary.to_pylist()]
+        own_n = np.array([len(x) for x in own], np.int64)
+        own_start = held + np.cumsum(own_n) - own_n
+        both_start, both_n = np.zeros((len(pieces), 2), np.int64), np.zeros((len(pieces), 2), np.int64)
+        both_start[:, 0], both_n[:, 0] = start[code], n[code]
+        tail = tails.indices.to_numpy()
+        both_start[which, 1], both_n[which, 1] = own_start[tail], own_n[tail]
+        return _slices(np.concatenate([*pool, *own]), both_start.ravel(), both_n.ravel()), both_n.sum(1).astype(np.int32)
 
     def _known(self, pieces, special: bool) -> np.ndarray:
         """Places of the pieces (an Arrow column) in the cache, which learns those that it has not."""
         one, two = value_hashes(pieces)
         new = np.flatnonzero(self.cache.find(one, two) < 0)
-        self.cache.add(one[new], two[new], self._learn(pieces.take(pa.array(new)).to_numpy(zero_copy_only=False).tolist(), special))
+        self.cache.add_flat(one[new], two[new], *self._learn(pieces.take(pa.array(new)), special))
         return self.cache.find(one, two)
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:

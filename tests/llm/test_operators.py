@@ -3,6 +3,7 @@
 import hashlib
 import math
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -361,6 +362,39 @@ def test_fast_encoder(monkeypatch):
     assert fast.encode(pa.array([], pa.string()))[0].tolist() == []
 
 
+def test_pieces_are_learned_by_columns():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib, fast = Tokenizer.from_file(path), wavelet.FastEncoder(path)
+    words = ["word", "Ünder", "中文", "x2", "½", "²", "e\u0301", "don't", "a-b", "\u00a0", "ⓐ", "ª", "\u200d", "1.5", ""]
+    pieces = pa.array([x + w + m for x in ("", "\n") for w in words for m in ("", ".", "?!", "$,;")])
+    for _ in range(2):  # the second time cores may be known
+        flat, n = fast._learn(pieces, False)
+        assert len(n) == len(pieces) and n.sum() == len(flat)
+    texts = ["a " + p + " b" for p in pieces.to_pylist()]
+    for part in (texts, texts[::-1], texts[:3]):  # the last two have nothing new
+        ids, n = fast.encode(pa.array(part))
+        want = [[*lib.encode(t, add_special_tokens=False).ids, 2] for t in part]
+        assert n.tolist() == [len(x) for x in want] and ids.tolist() == sum(want, [])
+    assert [len(x) for x in fast._learn(pieces.slice(0, 0), False)] == [0, 0]
+
+
+def test_planes_are_faster_than_masks():
+    ids = np.random.default_rng(5).integers(0, 50_000, 500_000).astype(np.uint16)
+
+    def masked():
+        cur = ids
+        for b in range(15, -1, -1):
+            bit = (cur & np.uint16(1 << b)).astype(np.bool_)
+            cur = np.concatenate([cur[~bit], cur[bit]])
+
+    def took(f):
+        start = time.process_time()
+        f()
+        return time.process_time() - start
+
+    assert min(took(lambda: wavelet.build(ids)) for _ in range(5)) < min(took(masked) for _ in range(5))
+
+
 def test_shards_are_smaller_than_their_ids(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     shards = wavelet.write(docs, public_tokenizers.path("byte_bpe_50k.json"), Scratch(spark, "t")).collect()
