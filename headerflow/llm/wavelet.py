@@ -13,6 +13,7 @@ Null text: the end id alone. Empty table: no shards. Repeated rows are documents
 the order of their texts' hash, and rows without one stand first. Columns of the input other than doc_id and text are unread.
 """
 
+import itertools
 import os
 import struct
 import zlib
@@ -194,7 +195,8 @@ class FastEncoder:
 
     A space between two characters that are no white space begins a word of the byte-level pattern, and a single line feed
     between such characters is a word of its own, as are marks behind letters and digits. So texts are cut there, each distinct
-    piece of a batch is looked up once, and pieces that are not in the cache are encoded by the library, many in a call. A text
+    piece of a batch is looked up once, and pieces that are not in the cache are encoded by the library: letters by its model
+    alone, the rest many in a call. A text
     with other white space at a cut, or with a special token, goes to the library whole.
     """
 
@@ -211,6 +213,26 @@ class FastEncoder:
         vocab = self.lib.get_vocab()
         self.leads = np.zeros(max(vocab.values()) + 1, np.bool_)
         self.leads[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
+        # letters alone are one match of the pattern, so the library's model can take them at once, bytes written as in its vocabulary
+        kind = str(self.lib.pre_tokenizer)
+        self.plain = self.lib.normalizer is None and kind.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in kind
+        same = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = iter(range(256, 512))
+        spelled = [chr(c if c in same else next(other)).encode() for c in range(256)]
+        self.wide = np.array([len(x) for x in spelled])
+        self.first, self.second = (np.array([x[i] if len(x) > i else 0 for x in spelled], np.uint8) for i in (0, 1))
+
+    def _spelled(self, words):
+        """A column of words as the vocabulary writes them: a character for each byte."""
+        words = words.cast(pa.large_binary())
+        at = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1)
+        raw = np.frombuffer(words.buffers()[2], np.uint8, at[-1])
+        to = np.append(0, np.cumsum(self.wide[raw]))
+        out = np.empty(to[-1], np.uint8)
+        out[to[:-1]] = self.first[raw]
+        two = np.flatnonzero(self.wide[raw] == 2)
+        out[to[two] + 1] = self.second[raw[two]]
+        return pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(to[at]), pa.py_buffer(out))
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
@@ -249,6 +271,20 @@ class FastEncoder:
             fit[i] = bool(word) and not word[0].isspace() and not word[-1].isspace() and not (special and any(s in word for s in self.special))
         fit[known] = False
         line = pc.starts_with(cores, "\n").to_numpy(zero_copy_only=False)
+        if self.plain and not special:
+            body = pc.if_else(pc.starts_with(cores, "\n"), pc.utf8_slice_codeunits(cores, 1), cores)
+            only = fit & pc.utf8_is_alpha(body).to_numpy(zero_copy_only=False)
+            tokenize = self.lib.model.tokenize
+            for part, lead, first in ((np.flatnonzero(only & ~line), "\u0120", []), (np.flatnonzero(only & line), "", [self.feed_id])):
+                words = pc.binary_join_element_wise(pa.scalar(lead, pa.large_string()), self._spelled(body.take(pa.array(part))), pa.scalar("", pa.large_string())) if len(part) else []
+                for a in range(0, len(part), 5000):
+                    some = part[a : a + 5000]
+                    own = [first + [t.id for t in tokenize(w)] for w in words[a : a + 5000].to_pylist()]
+                    n[some] = [len(x) for x in own]
+                    start[some] = held + np.cumsum(n[some]) - n[some]
+                    pool.append(np.array(list(itertools.chain.from_iterable(own)), np.uint16))
+                    held += len(pool[-1])
+            fit &= ~only
         # one call for many pieces: in its ids a piece begins where a token has its space, or with the line feed's token
         for part, sep in ((np.flatnonzero(fit & ~line), " "), (np.flatnonzero(fit & line), "")):
             for a in range(0, len(part), 5000):
